@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sendstats.functions.events import UNIQUE_LABELS
+from sendstats.operators.sizing import few_rows
 
 
 def event_counts(events: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -63,13 +64,22 @@ def _when_label(label: str, value):
     return F.sum(F.when(F.col("label") == label, value).otherwise(0))
 
 
-def of_messages(counted: DataFrame, ids: DataFrame) -> DataFrame:
-    """Keep the rows of the (app, message) pairs in ``ids``.
+def counters_of_messages(
+    events: DataFrame,
+    ids: DataFrame,
+    keys: Sequence[str],
+    counters: dict[str, str],
+    unique_keys: Sequence[str] = (),
+) -> DataFrame:
+    """``message_counters`` of the (app, message) pairs in ``ids`` only.
 
-    Written after the aggregation and without a hint on purpose. While the ids
-    are under the broadcast threshold, Catalyst moves this semi join below the
-    aggregates, down to the events, so foreign messages are never shuffled.
-    Above it the join stays on the finished counters: events are never shuffled
-    by message id, whatever share of them one message holds.
+    A short id list filters the events, so foreign messages are never shuffled.
+    A long one filters the finished counters, which gives the same rows because
+    both id columns are among the keys; events are never shuffled by message id,
+    whatever share of them one message holds.
     """
-    return counted.join(ids, ["app_id", "message_id"], "left_semi")
+    pair = ["app_id", "message_id"]
+    if few_rows(ids):
+        own = events.join(F.broadcast(ids), pair, "left_semi")
+        return message_counters(own, keys, counters, unique_keys)
+    return message_counters(events, keys, counters, unique_keys).join(ids, pair, "left_semi")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sendstats.functions.events import event_label, event_message_id, is_message_event, utc_day
 from sendstats.functions.mail import recipient_domain
+from sendstats.operators.sizing import join_few
 
 
 def explode_events(sessions: DataFrame) -> DataFrame:
@@ -63,17 +64,16 @@ def email_position(app: DataFrame) -> DataFrame:
     return app.select("app_id", (F.coalesce(place, F.lit(0)) - 1).cast("int").alias("email_at"))
 
 
-def with_email(sessions: DataFrame, app: DataFrame) -> DataFrame:
-    """Replace ``attrs`` by the recipient's lower-case ``email`` and its ``Domain``.
+def with_email(sessions: DataFrame, positions: DataFrame) -> DataFrame:
+    """Replace ``attrs`` by the recipient's lower-case ``email`` and its ``Domain``,
+    for the sessions of the apps in ``positions``.
 
     Runs before the events are exploded, so the look-up and the regular
-    expression cost one call per session. The join carries no hint: Spark
-    broadcasts the positions while they are under its threshold and otherwise
-    shuffles, where adaptive execution splits an app that dominates.
+    expression cost one call per session.
     """
     carried = [c for c in sessions.columns if c != "attrs"]
     email = F.lower(F.get("attrs", F.col("email_at")))
-    located = sessions.join(email_position(app), "app_id", "left")
+    located = join_few(sessions, positions, ["app_id"], "inner")
     return located.select(*carried, email.alias("email")).withColumn(
         "Domain", recipient_domain(F.col("email"))
     )

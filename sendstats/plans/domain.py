@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from sendstats.functions.events import EMAIL_COUNTERS
 from sendstats.functions.mail import EMAIL, message_link, message_name, sender_domain
 from sendstats.functions.rates import EMAIL_RATES, with_rates
-from sendstats.operators.counts import message_counters, of_messages
-from sendstats.operators.dims import message_ids, newest_definition, sender_or_default, senders
+from sendstats.operators.counts import counters_of_messages
+from sendstats.operators.dims import newest_definition, sender_or_default, senders
 from sendstats.operators.nesting import message_events, with_email
-from sendstats.plans.inputs import Inputs, report_apps, scoped
+from sendstats.plans.inputs import Inputs, Scope
 from sendstats.plans.messages import DEFAULT_LINK_BASE, with_category, with_live_message
 
 KEYS = ("app_id", "message_id", "Domain")
@@ -56,20 +56,20 @@ def domain_report(
     ``All`` row per message."""
     window = inputs.window(start, end)
     live = inputs.live_study
-    apps = report_apps(inputs, end, company_id, app_id)
-    ids = scoped(message_ids(live, EMAIL), apps, app_id)
+    scope = Scope(inputs, end, company_id, app_id)
 
-    sessions = window.sessions.select("user_id", "app_id", "states", "attrs")
-    if app_id is not None:
-        sessions = sessions.where(F.col("app_id") == int(app_id))
-    events = message_events(with_email(sessions, inputs.live_app))
-    counted = events.where(F.col("label").isin(*EMAIL_COUNTERS))
-    counters = message_counters(counted, KEYS, EMAIL_COUNTERS, ["user_id", "email", "day"])
-    rows = with_all_rows(of_messages(counters, ids).where(F.col("Sent") > 0))
+    sessions = scope.of_app(window.sessions.select("user_id", "app_id", "states", "attrs"))
+    events = message_events(with_email(sessions, scope.email_positions()))
+    counters = counters_of_messages(
+        events.where(F.col("label").isin(*EMAIL_COUNTERS)),
+        scope.ids(live, EMAIL), KEYS, EMAIL_COUNTERS, ["user_id", "email", "day"],
+    )
+    rows = with_all_rows(counters.where(F.col("Sent") > 0))
 
     defined = rows.join(newest_definition(window.study), "message_id")
     current = with_live_message(defined, live, EMAIL)
-    complete = current.join(senders(window.experiment), "message_id", "left").join(apps, "app_id")
+    addressed = current.join(senders(window.experiment), "message_id", "left")
+    complete = addressed.join(scope.apps(), "app_id")
     sender = sender_or_default(F.col("sender"), F.col("default_sender"))
     link = message_link(link_base, F.col("app_id"), F.col("message_id"))
     return (

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sendstats.functions.mail import file_safe
-from sendstats.operators.dims import latest
+from sendstats.operators.dims import latest, message_ids
+from sendstats.operators.nesting import email_position
+from sendstats.operators.sizing import join_few
 from sendstats.sources.scans import between_days, on_day, read_sessions, read_snapshots
 
 
@@ -63,33 +65,53 @@ def company_apps(app: DataFrame, day, company_id: int | None = None) -> DataFram
     return apps.select("company_id", "app_id", F.col("name").alias("AppName"))
 
 
-def report_apps(inputs: Inputs, end, company_id=None, app_id=None) -> DataFrame:
-    """The apps a report covers.
-
-    One app is taken as it is now; a company, or everything, as listed in the
-    snapshot of the last day. The default sender always comes from that day, the
-    unsubscribe categories are the current ones.
-    """
-    live = inputs.live_app
-    if app_id is not None:
-        live = live.where(F.col("app_id") == int(app_id))
-        listed = live.select("app_id", F.col("name").alias("AppName"))
-    else:
-        listed = company_apps(inputs.app, end, company_id).drop("company_id")
-    default = on_day(inputs.app, end).select(
-        "app_id", F.col("email_from_address").alias("default_sender")
-    )
-    return (
-        listed.join(default, "app_id", "left")
-        .join(live.select("app_id", "unsubscribe_categories"), "app_id", "left")
-        .withColumn("App", file_safe(F.col("AppName")))
-        .drop("AppName")
-    )
-
+@dataclass(frozen=True)
+class Scope:
+    """The apps a report covers: one app, one company's, or all of them."""
+
+    inputs: Inputs
+    end: object
+    company_id: int | None = None
+    app_id: int | None = None
+
+    def listing(self) -> DataFrame:
+        """One app is taken as it is now; a company, or everything, as listed in
+        the snapshot of the last day."""
+        if self.app_id is None:
+            return company_apps(self.inputs.app, self.end, self.company_id).drop("company_id")
+        live = self.of_app(self.inputs.live_app)
+        return live.select("app_id", F.col("name").alias("AppName"))
+
+    def apps(self) -> DataFrame:
+        """Name, default sender of the last day and current categories per app."""
+        default = self.of_app(on_day(self.inputs.app, self.end)).select(
+            "app_id", F.col("email_from_address").alias("default_sender")
+        )
+        live = self.of_app(self.inputs.live_app).select("app_id", "unsubscribe_categories")
+        return (
+            self.listing()
+            .join(default, "app_id", "left")
+            .join(live, "app_id", "left")
+            .withColumn("App", file_safe(F.col("AppName")))
+            .drop("AppName")
+        )
 
-def scoped(df: DataFrame, apps: DataFrame, app_id=None) -> DataFrame:
-    """Rows of the covered apps; a single app is a plain predicate that reaches
-    the scan."""
-    if app_id is not None:
-        df = df.where(F.col("app_id") == int(app_id))
-    return df.join(apps.select("app_id"), "app_id", "left_semi")
+    def email_positions(self) -> DataFrame:
+        """Position of the email attribute per app, NULL without a live app."""
+        live = email_position(self.of_app(self.inputs.live_app))
+        return self.listing().select("app_id").join(live, "app_id", "left")
+
+    def of_app(self, df: DataFrame) -> DataFrame:
+        """A single app is a plain predicate, which reaches the scan."""
+        return df if self.app_id is None else df.where(F.col("app_id") == int(self.app_id))
+
+    def ids(self, live_study: DataFrame, channel: str) -> DataFrame:
+        ids = message_ids(self.of_app(live_study), channel)
+        if self.company_id is None:
+            return ids
+        return ids.join(self.listing(), "app_id", "left_semi")
+
+    def sessions(self, sessions: DataFrame) -> DataFrame:
+        if self.company_id is None or self.app_id is not None:
+            return self.of_app(sessions)
+        return join_few(sessions, self.listing().select("app_id"), ["app_id"], "left_semi")

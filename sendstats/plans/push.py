@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from sendstats.functions.events import PUSH_COUNTERS
 from sendstats.functions.mail import PUSH, message_link
 from sendstats.functions.rates import PUSH_RATES, with_rates
-from sendstats.operators.counts import message_counters, of_messages
-from sendstats.operators.dims import message_ids, push_names
+from sendstats.operators.counts import counters_of_messages
+from sendstats.operators.dims import push_names
 from sendstats.operators.nesting import message_events
-from sendstats.plans.inputs import Inputs, report_apps, scoped
+from sendstats.plans.inputs import Inputs, Scope
 from sendstats.plans.messages import DEFAULT_LINK_BASE, with_live_message
 
 COLUMNS = (
@@ -27,18 +27,17 @@ def push_report(
     """One row per push message that was sent in the window."""
     window = inputs.window(start, end)
     live = inputs.live_study
-    apps = report_apps(inputs, end, company_id, app_id)
-    ids = scoped(message_ids(live, PUSH), apps, app_id)
+    scope = Scope(inputs, end, company_id, app_id)
 
-    sessions = window.sessions.select("app_id", "states")
-    if app_id is not None:
-        sessions = sessions.where(F.col("app_id") == int(app_id))
+    sessions = scope.sessions(window.sessions.select("app_id", "states"))
     events = message_events(sessions).where(F.col("label").isin(*PUSH_COUNTERS))
-    counters = message_counters(events, ["app_id", "message_id"], PUSH_COUNTERS)
-    sent = of_messages(counters, ids).where(F.col("Sent") > 0)
+    counters = counters_of_messages(
+        events, scope.ids(live, PUSH), ["app_id", "message_id"], PUSH_COUNTERS
+    )
+    sent = counters.where(F.col("Sent") > 0)
 
     named = sent.join(push_names(window.study, PUSH), ["app_id", "message_id"])
-    current = with_live_message(named, live, PUSH).join(apps, "app_id")
+    current = with_live_message(named, live, PUSH).join(scope.apps(), "app_id")
     return (
         with_rates(current, PUSH_RATES)
         .withColumn("MessageName", F.coalesce(F.nullif("live_name", F.lit("")), "name"))

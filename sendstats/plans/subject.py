@@ -8,15 +8,11 @@ from pyspark.sql import functions as F
 from sendstats.functions.events import EMAIL_COUNTERS
 from sendstats.functions.mail import EMAIL, message_link, variant_subject
 from sendstats.functions.rates import EMAIL_RATES, with_rates
-from sendstats.operators.counts import message_counters, of_messages
-from sendstats.operators.dims import (
-    message_ids,
-    subject_lines,
-    variant_messages,
-    variant_subjects,
-)
+from sendstats.operators.counts import counters_of_messages, message_counters
+from sendstats.operators.dims import subject_lines, variant_messages, variant_subjects
 from sendstats.operators.nesting import message_events, with_variants
-from sendstats.plans.inputs import Inputs, report_apps, scoped
+from sendstats.operators.sizing import few_rows
+from sendstats.plans.inputs import Inputs, Scope
 from sendstats.plans.messages import DEFAULT_LINK_BASE, with_category, with_live_message
 
 MESSAGE = ["app_id", "message_id"]
@@ -36,14 +32,14 @@ def subject_report(
     """One row per sent email message and distinct subject line."""
     window = inputs.window(start, end)
     live = inputs.live_study
-    apps = report_apps(inputs, end, company_id, app_id)
-    ids = scoped(message_ids(live, EMAIL), apps, app_id)
+    scope = Scope(inputs, end, company_id, app_id)
 
-    events = _events(window.sessions.select("user_id", "app_id", "states"), app_id)
-    counters = message_counters(events, MESSAGE, EMAIL_COUNTERS, UNIQUE_KEYS)
-    sent = of_messages(counters, ids).where(F.col("Sent") > 0)
-    rows = sent.join(subject_lines(window.experiment), "message_id")
-    return _finish(rows, live, apps, link_base)
+    events = _events(scope.sessions(window.sessions.select("user_id", "app_id", "states")))
+    counters = counters_of_messages(
+        events, scope.ids(live, EMAIL), MESSAGE, EMAIL_COUNTERS, UNIQUE_KEYS
+    )
+    rows = counters.where(F.col("Sent") > 0).join(subject_lines(window.experiment), "message_id")
+    return _finish(rows, live, scope, link_base)
 
 
 def ab_report(
@@ -53,12 +49,11 @@ def ab_report(
     variant instead of its own rows."""
     window = inputs.window(start, end)
     live = inputs.live_study
-    apps = report_apps(inputs, end, company_id, app_id)
-    ids = scoped(message_ids(live, EMAIL), apps, app_id)
+    scope = Scope(inputs, end, company_id, app_id)
 
-    sessions = window.sessions.select("user_id", "app_id", "states", "experiments")
+    sessions = scope.sessions(window.sessions.select("user_id", "app_id", "states", "experiments"))
     counters = variant_counters(
-        _events(sessions, app_id), ids, variant_messages(window.experiment)
+        _events(sessions), scope.ids(live, EMAIL), variant_messages(window.experiment)
     )
 
     # Whether a message shows at all is decided on its own row (the one without
@@ -81,33 +76,41 @@ def ab_report(
         "Subject",
         F.when(is_variant, variant_subject(text, F.col("variant_id"))).otherwise(F.col("Subject")),
     )
-    return _finish(labelled, live, apps, link_base, extra=["variant_id"])
+    return _finish(labelled, live, scope, link_base, extra=["variant_id"])
 
 
 def variant_counters(events: DataFrame, ids: DataFrame, variants: DataFrame) -> DataFrame:
     """Counters per message (variant NULL) and per (message, variant), for the
     pairs in ``variants``, out of one pass over the events.
 
-    The wanted rows are one semi join, for the same reason as in ``of_messages``.
+    The wanted rows are one list, and as with plain messages a short one filters
+    the events and a long one the finished counters.
     """
+    keys = [*MESSAGE, "variant_id"]
     own = ids.withColumn("variant_id", F.lit(None).cast("bigint"))
     wanted = own.unionByName(ids.join(variants, "message_id"))
-    counters = message_counters(
-        with_variants(events), [*MESSAGE, "variant_id"], EMAIL_COUNTERS, UNIQUE_KEYS
+    if few_rows(wanted):
+        kept = events.join(F.broadcast(ids), MESSAGE, "left_semi")
+        spread = _wanted(with_variants(kept), F.broadcast(wanted))
+        return message_counters(spread, keys, EMAIL_COUNTERS, UNIQUE_KEYS)
+    return _wanted(
+        message_counters(with_variants(events), keys, EMAIL_COUNTERS, UNIQUE_KEYS), wanted
     )
-    same = [counters[c] == wanted[c] for c in MESSAGE]
-    same.append(counters["variant_id"].eqNullSafe(wanted["variant_id"]))
-    return counters.join(wanted, same, "left_semi")
 
 
-def _events(sessions: DataFrame, app_id) -> DataFrame:
-    if app_id is not None:
-        sessions = sessions.where(F.col("app_id") == int(app_id))
+def _wanted(df: DataFrame, wanted: DataFrame) -> DataFrame:
+    left, right = df.alias("l"), wanted.alias("r")
+    same = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in MESSAGE]
+    same.append(F.col("l.variant_id").eqNullSafe(F.col("r.variant_id")))
+    return left.join(right, same, "left_semi")
+
+
+def _events(sessions: DataFrame) -> DataFrame:
     return message_events(sessions).where(F.col("label").isin(*EMAIL_COUNTERS))
 
 
-def _finish(rows, live, apps, link_base, extra=()) -> DataFrame:
-    current = with_live_message(rows, live, EMAIL).join(apps, "app_id")
+def _finish(rows, live, scope, link_base, extra=()) -> DataFrame:
+    current = with_live_message(rows, live, EMAIL).join(scope.apps(), "app_id")
     link = message_link(link_base, F.col("app_id"), F.col("message_id"))
     return (
         with_category(with_rates(current, EMAIL_RATES))
