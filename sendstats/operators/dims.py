@@ -71,14 +71,17 @@ def vars_named(experiment: DataFrame, predicate: Callable[[Column], Column]) ->
 
 
 def subject_lines(experiment: DataFrame) -> DataFrame:
-    """Distinct subjects per message; ``is_newest`` marks one of them."""
+    """Distinct subjects per message."""
     found = vars_named(experiment, lambda name: name == SUBJECT_VAR)
-    distinct = found.groupBy("message_id", F.col("text").alias("Subject")).agg(
-        F.max("dt").alias("last_dt")
-    )
-    order = Window.partitionBy("message_id").orderBy(F.col("last_dt").desc(), F.col("Subject"))
-    return distinct.select(
-        "message_id", "Subject", (F.row_number().over(order) == 1).alias("is_newest")
+    return found.select("message_id", F.col("text").alias("Subject")).distinct()
+
+
+def newest_subject(experiment: DataFrame) -> DataFrame:
+    """One subject per message, of its newest snapshot."""
+    found = vars_named(experiment, lambda name: name == SUBJECT_VAR)
+    order = [F.col("dt").desc(), F.col("text")]
+    return newest(found, ["message_id"], order).select(
+        "message_id", F.col("text").alias("newest_subject")
     )
 
 

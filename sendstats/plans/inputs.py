@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,38 +15,46 @@ from sendstats.operators.sizing import join_few
 from sendstats.sources.scans import between_days, on_day, read_sessions, read_snapshots
 
 
-@dataclass(frozen=True)
 class Inputs:
     """Sessions and all snapshots, unfiltered; a report takes its own window."""
 
-    sessions: DataFrame
-    study: DataFrame
-    experiment: DataFrame
-    app: DataFrame
-
-    def window(self, start, end) -> Window:
-        return Window(
-            between_days(self.sessions, start, end),
-            between_days(self.study, start, end),
-            between_days(self.experiment, start, end),
-        )
+    def __init__(self, sessions: DataFrame, study: DataFrame, experiment: DataFrame, app: DataFrame):
+        self.sessions = sessions
+        self.study = study
+        self.experiment = experiment
+        self.app = app
 
-    @property
+    @cached_property
     def live_study(self) -> DataFrame:
         return latest(self.study, ["message_id"])
 
-    @property
+    @cached_property
     def live_app(self) -> DataFrame:
         return latest(self.app, ["app_id"])
 
+    def window(self, start, end) -> Window:
+        return Window(self, start, end)
+
 
 @dataclass(frozen=True)
 class Window:
     """The rows of one report window."""
 
-    sessions: DataFrame
-    study: DataFrame
-    experiment: DataFrame
+    inputs: Inputs
+    start: object
+    end: object
+
+    @property
+    def sessions(self) -> DataFrame:
+        return between_days(self.inputs.sessions, self.start, self.end)
+
+    @property
+    def study(self) -> DataFrame:
+        return between_days(self.inputs.study, self.start, self.end)
+
+    @property
+    def experiment(self) -> DataFrame:
+        return between_days(self.inputs.experiment, self.start, self.end)
 
 
 def read_inputs(spark: SparkSession, root: str, report: str = "all") -> Inputs:
@@ -62,7 +71,10 @@ def company_apps(app: DataFrame, day, company_id: int | None = None) -> DataFram
     apps = on_day(app, day)
     if company_id is not None:
         apps = apps.where(F.col("company_id") == int(company_id))
-    return apps.select("company_id", "app_id", F.col("name").alias("AppName"))
+    return apps.select(
+        "company_id", "app_id", F.col("name").alias("AppName"),
+        F.col("email_from_address").alias("default_sender"),
+    )
 
 
 @dataclass(frozen=True)
@@ -74,27 +86,28 @@ class Scope:
     company_id: int | None = None
     app_id: int | None = None
 
+    def __post_init__(self):
+        if self.company_id is not None and self.app_id is not None:
+            raise ValueError("a report covers a company or an app, not both")
+
     def listing(self) -> DataFrame:
-        """One app is taken as it is now; a company, or everything, as listed in
-        the snapshot of the last day."""
+        """Name and default sender of each covered app.
+
+        One app is taken as it is now; a company, or everything, as listed in
+        the snapshot of the last day. Default senders are always of that day.
+        """
+        listed = company_apps(self.inputs.app, self.end, self.company_id).drop("company_id")
         if self.app_id is None:
-            return company_apps(self.inputs.app, self.end, self.company_id).drop("company_id")
+            return listed
         live = self.of_app(self.inputs.live_app)
-        return live.select("app_id", F.col("name").alias("AppName"))
+        default = self.of_app(listed).drop("AppName")
+        return live.select("app_id", F.col("name").alias("AppName")).join(default, "app_id", "left")
 
     def apps(self) -> DataFrame:
-        """Name, default sender of the last day and current categories per app."""
-        default = self.of_app(on_day(self.inputs.app, self.end)).select(
-            "app_id", F.col("email_from_address").alias("default_sender")
-        )
+        """The listing with file-safe names and the current categories."""
         live = self.of_app(self.inputs.live_app).select("app_id", "unsubscribe_categories")
-        return (
-            self.listing()
-            .join(default, "app_id", "left")
-            .join(live, "app_id", "left")
-            .withColumn("App", file_safe(F.col("AppName")))
-            .drop("AppName")
-        )
+        listed = self.listing().join(live, "app_id", "left")
+        return listed.withColumn("App", file_safe(F.col("AppName"))).drop("AppName")
 
     def email_positions(self) -> DataFrame:
         """Position of the email attribute per app, NULL without a live app."""

@@ -9,7 +9,12 @@ from sendstats.functions.events import EMAIL_COUNTERS
 from sendstats.functions.mail import EMAIL, message_link, variant_subject
 from sendstats.functions.rates import EMAIL_RATES, with_rates
 from sendstats.operators.counts import counters_of_messages, message_counters
-from sendstats.operators.dims import subject_lines, variant_messages, variant_subjects
+from sendstats.operators.dims import (
+    newest_subject,
+    subject_lines,
+    variant_messages,
+    variant_subjects,
+)
 from sendstats.operators.nesting import message_events, with_variants
 from sendstats.operators.sizing import few_rows
 from sendstats.plans.inputs import Inputs, Scope
@@ -67,12 +72,14 @@ def ab_report(
         .where((F.col("own_sent") > 0) & (is_variant | (F.col("variants") == 0)))
     )
 
-    # A plain row repeats per subject; a variant row is written once.
-    subjects = subject_lines(window.experiment)
-    rows = shown.join(subjects, "message_id").where(~is_variant | F.col("is_newest"))
-    own = rows.join(variant_subjects(window.experiment), ["message_id", "variant_id"], "left")
-    text = F.coalesce("variant_subject", "Subject")
-    labelled = own.withColumn(
+    # A plain row repeats per subject; a variant row is written once, under its
+    # own subject or else the message's newest.
+    plain = F.col("l.variant_id").isNull() & (F.col("l.message_id") == F.col("r.message_id"))
+    own = shown.join(newest_subject(window.experiment), "message_id").alias("l")
+    rows = own.join(subject_lines(window.experiment).alias("r"), plain, "left").select("l.*", "Subject")
+    named = rows.join(variant_subjects(window.experiment), ["message_id", "variant_id"], "left")
+    text = F.coalesce("variant_subject", "newest_subject")
+    labelled = named.withColumn(
         "Subject",
         F.when(is_variant, variant_subject(text, F.col("variant_id"))).otherwise(F.col("Subject")),
     )

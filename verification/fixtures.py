@@ -8,9 +8,9 @@ shuffles: ``events`` -> sessions, ``part`` -> messages and experiments,
 from __future__ import annotations
 
 import datetime as dt
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from sendstats.plans.inputs import Inputs
 from sendstats.sources.scans import flat_keys
@@ -22,251 +22,179 @@ SNAPSHOT_DAYS = (
     dt.date(2024, 1, 1), dt.date(2024, 1, 11), dt.date(2024, 1, 30), dt.date(2024, 2, 5),
 )
 FIRST_MESSAGE = 4500000000000000
-FIRST_VARIANT = 9000000000
-MESSAGES_PER_APP = 20
 HOT_MESSAGES = 40
-VAR_PREFIX = "__message__"
+
+DAYS = "array(" + ", ".join(f"DATE '{day}'" for day in SNAPSHOT_DAYS) + ")"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def snapshots(df: DataFrame, first: Column) -> DataFrame:
+def snapshots(df: DataFrame, first: str) -> DataFrame:
     """Each row once per snapshot from number ``first`` on, as ``s`` and ``dt``."""
-    days = F.array(*[F.lit(day) for day in SNAPSHOT_DAYS])
-    every = df.select("*", first.alias("first"), F.posexplode(days).alias("s", "dt"))
-    return every.where(F.col("s") >= F.col("first"))
+    return df.selectExpr("*", f"posexplode({DAYS}) AS (s, dt)").where(f"s >= {first}")
+
+
+def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = table(spark, sf_dir, "part").selectExpr("p_partkey AS k", "p_name", "p_size")
+    return snapshots(part, "CASE WHEN p_size % 25 = 13 THEN 3 ELSE 0 END")
 
 
 def raw_study(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_name", "p_size")
-    rows = snapshots(part, _first_snapshot("p_size"))
-    k, s = F.col("k"), F.col("s")
-    kind = k % 5
-    renamed = k % 6 == 0
-    action = (
-        F.when((k % 50).isin(7, 13) & (s == 3), "__In App")
-        .when(kind == 3, "__Push Notification")
-        .when(kind == 4, "__In App")
-        .otherwise("__Email")
-    )
-    changed = 1701388800 + 86400 * (k % 30 + F.when(renamed & (k % 12 != 0), s).otherwise(0))
-    since = F.when(k % 10 != 9, 1698883199 + 86400 * (k % 60))
-    category = F.when(k % 3 != 0, (k + F.when((k % 7 == 0) & (s == 3), 1).otherwise(0)) % 4)
-    return rows.select(
-        F.struct((FIRST_MESSAGE + k).alias("id")).alias("__key__"),
-        F.struct(_div(k, MESSAGES_PER_APP).alias("id")).alias("app"),
-        F.concat(
-            "p_name", F.lit(" #"), k.cast("string"),
-            F.when(renamed, F.concat(F.lit(" v"), s.cast("string"))).otherwise(""),
-        ).alias("name"),
-        action.alias("action_type"),
-        (F.col("p_size") % 8).alias("delivery_type"),
-        F.timestamp_seconds(changed).alias("last_change_time"),
-        F.timestamp_seconds(since).alias("active_since"),
-        category.cast("bigint").alias("category_id"),
+    return parts(spark, sf_dir).selectExpr(
+        "struct(4500000000000000 + k AS id) AS __key__",
+        "struct(k div 20 AS id) AS app",
+        "concat(p_name, ' #', k, CASE WHEN k % 6 = 0 THEN concat(' v', s) ELSE '' END) AS name",
+        """CASE WHEN k % 50 IN (7, 13) AND s = 3 THEN '__In App'
+                WHEN k % 5 = 3 THEN '__Push Notification'
+                WHEN k % 5 = 4 THEN '__In App' ELSE '__Email' END AS action_type""",
+        "p_size % 8 AS delivery_type",
+        """timestamp_seconds(1701388800 + 86400 * (k % 30
+             + CASE WHEN k % 6 = 0 AND k % 12 <> 0 THEN s ELSE 0 END)) AS last_change_time""",
+        """timestamp_seconds(CASE WHEN k % 10 <> 9 THEN 1698883199 + 86400 * (k % 60) END)
+             AS active_since""",
+        """CASE WHEN k % 3 <> 0
+                THEN (k + CASE WHEN k % 7 = 0 AND s = 3 THEN 1 ELSE 0 END) % 4 END AS category_id""",
         "dt",
     )
 
 
 def raw_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), "p_size")
-    emails = snapshots(part, _first_snapshot("p_size")).where(F.col("k") % 5 < 3)
-    arms = F.when(F.col("k") % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = emails.select("k", "s", "dt", F.explode(arms).alias("b"))
-    k, s, b = F.col("k"), F.col("s"), F.col("b")
-    ktext = k.cast("string")
-    message = (FIRST_MESSAGE + k).cast("string")
-    edit = F.concat(F.lit(" r"), s.cast("string"))
-    subject = F.concat(
-        F.lit("Subj "), ktext, F.when((k % 8 == 0) & (b == 1), edit).otherwise("")
-    )
-    address = (
-        F.when(k % 15 == 6, "no-at-sender")
-        .when(k % 25 == 11, "")
-        .otherwise(F.concat(
-            F.lit("news"), ktext, F.lit("@mail"), (k % 3).cast("string"),
-            F.when((k % 8 == 4) & (b == 1), ".alt").otherwise(""), F.lit(".example.com"),
-        ))
-    )
-    arm_subject = F.concat(
-        F.lit("Subj "), ktext, F.when(b == 0, " /A").otherwise(" /B"),
-        F.when(k % 16 == 0, edit).otherwise(""),
-    )
-    tested = k % 4 == 0
-    parts = [
-        F.array(_var(F.lit("Subject"), subject)),
-        _vars_if(k % 5 != 2, _var(F.lit("Sender email"), address)),
-        _vars_if(tested, _var(F.concat(F.lit(VAR_PREFIX), message), F.lit(""))),
-        _vars_if(
-            tested & (k % 12 != 8),
-            _var(F.concat(F.lit(VAR_PREFIX), message, F.lit(".Subject")), arm_subject),
-        ),
-    ]
-    return rows.select(
-        F.struct((FIRST_VARIANT + 2 * k + b).alias("id")).alias("__key__"),
-        F.struct((FIRST_MESSAGE + k).alias("id")).alias("study"),
-        F.concat(*parts).alias("vars"),
+    arms = parts(spark, sf_dir).where("k % 5 < 3").selectExpr(
+        "k", "s", "dt", "explode(CASE WHEN k % 4 = 0 THEN array(0, 1) ELSE array(0) END) AS b"
+    )
+    texts = arms.selectExpr(
+        "*",
+        "concat('__message__', 4500000000000000 + k) AS arm_var",
+        "concat('Subj ', k, CASE WHEN k % 8 = 0 AND b = 1 THEN concat(' r', s) ELSE '' END) AS subject",
+        """CASE WHEN k % 15 = 6 THEN 'no-at-sender' WHEN k % 25 = 11 THEN ''
+                ELSE concat('news', k, '@mail', k % 3,
+                            CASE WHEN k % 8 = 4 AND b = 1 THEN '.alt' ELSE '' END, '.example.com')
+                END AS sender""",
+        """concat('Subj ', k, CASE WHEN b = 0 THEN ' /A' ELSE ' /B' END,
+                  CASE WHEN k % 16 = 0 THEN concat(' r', s) ELSE '' END) AS arm_subject""",
+    )
+
+    def var(name: str, text: str) -> str:
+        return f"named_struct('name', {name}, 'value', named_struct('text', {text}))"
+
+    subject, sender = var("'Subject'", "subject"), var("'Sender email'", "sender")
+    own, shown = var("arm_var", "''"), var("concat(arm_var, '.Subject')", "arm_subject")
+    return texts.selectExpr(
+        "struct(9000000000 + 2 * k + b AS id) AS __key__",
+        "struct(4500000000000000 + k AS id) AS study",
+        f"""concat(array({subject}),
+              CASE WHEN k % 5 <> 2 THEN array({sender}) ELSE array() END,
+              CASE WHEN k % 4 = 0 THEN array({own}) ELSE array() END,
+              CASE WHEN k % 4 = 0 AND k % 12 <> 8 THEN array({shown}) ELSE array() END) AS vars""",
         "dt",
     )
 
 
 def raw_app(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("a"), "s_name", "s_nationkey"
-    )
-    rows = snapshots(supplier, F.when(F.col("a") % 25 == 22, 3).otherwise(0))
-    a, s = F.col("a"), F.col("s")
-    name = F.when(a % 7 == 0, F.translate("s_name", "#", "/")).otherwise(F.col("s_name"))
-    places = F.transform(
-        F.array(F.lit(0), F.lit(1), F.lit(2)),
-        lambda i: F.when(a % 3 == i, "email").otherwise(F.concat(F.lit("attr_"), i.cast("string"))),
-    )
-    entry = F.when(a % 6 == 4, F.array(_category(1, "News"), _category(2, "Promo"), _category(1, "Late")))
-    categories = entry.when(a % 2 == 0, F.array(_category(1, "News"), _category(2, "Promo")))
-    return rows.select(
-        F.struct(a.alias("id")).alias("__key__"),
-        F.struct(F.col("s_nationkey").cast("bigint").alias("id")).alias("company"),
-        F.concat(name, F.when((a % 5 == 1) & (s == 3), " new").otherwise("")).alias("name"),
-        F.concat(
-            F.lit("default"), F.when(a % 4 == 1, s.cast("string")).otherwise(""),
-            F.lit("@app"), a.cast("string"), F.lit(".example.net"),
-        ).alias("email_from_address"),
-        F.when(a % 25 == 23, "mail")
-        .when(a % 25 != 24, "email").alias("email_user_attribute"),
-        places.alias("attribute_columns"),
-        categories.alias("unsubscribe_categories"),
+    supplier = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS a", "s_name", "s_nationkey")
+    rows = snapshots(supplier, "CASE WHEN a % 25 = 22 THEN 3 ELSE 0 END")
+    news, promo, late = (
+        f"named_struct('id', {n}L, 'name', '{name}')" for n, name in ((1, "News"), (2, "Promo"), (1, "Late"))
+    )
+    return rows.selectExpr(
+        "struct(a AS id) AS __key__",
+        "struct(cast(s_nationkey AS bigint) AS id) AS company",
+        """concat(CASE WHEN a % 7 = 0 THEN translate(s_name, '#', '/') ELSE s_name END,
+                  CASE WHEN a % 5 = 1 AND s = 3 THEN ' new' ELSE '' END) AS name""",
+        """concat('default', CASE WHEN a % 4 = 1 THEN cast(s AS string) ELSE '' END,
+                  '@app', a, '.example.net') AS email_from_address""",
+        "CASE WHEN a % 25 = 23 THEN 'mail' WHEN a % 25 <> 24 THEN 'email' END AS email_user_attribute",
+        """array(CASE WHEN a % 3 = 0 THEN 'email' ELSE 'attr_0' END,
+                 CASE WHEN a % 3 = 1 THEN 'email' ELSE 'attr_1' END,
+                 CASE WHEN a % 3 = 2 THEN 'email' ELSE 'attr_2' END) AS attribute_columns""",
+        f"""CASE WHEN a % 6 = 4 THEN array({news}, {promo}, {late})
+                 WHEN a % 2 = 0 THEN array({news}, {promo}) END AS unsubscribe_categories""",
         "dt",
     )
 
 
 def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One session per ``events`` row, with three states of events."""
-    k = F.regexp_extract("props", "([0-9]+)", 1).cast("bigint")
-    event, user = F.col("event_id"), F.col("user_id")
-    message = F.when(k < HOT_MESSAGES, k).otherwise(_div(event, 5))
-    base = table(spark, sf_dir, "events").select(
-        "event_id", "user_id", "event_type",
-        message.alias("m"),
-        ((event * 7 + user * 3) % 20).alias("code"),
-        _epoch_seconds(F.col("ts")).alias("t"),
-        F.to_date("ts").alias("dt"),
-    )
-    m, code, t = F.col("m"), F.col("code"), F.col("t")
-    app = _div(m, MESSAGES_PER_APP)
-    label = (
-        F.when(code < 7, "")
-        .when(code < 12, "Delivered")
-        .when(code < 15, "Open")
-        .when(code == 15, "Click")
-        .when(code == 16, "Bounce")
-        .when((code == 17) & (m % 5 == 3), "Held Back")
-        .when(code == 17, "Dropped")
-        .when((code == 18) & (m % 2 == 1), "Block")
-        .when(code == 18, "Unsubscribe")
-        .otherwise("Marked as spam")
-    )
-    named = F.when(F.col("event_type") == "error", "session end").otherwise(_event_name(m, label))
-    follow = (
-        F.when(label == "", _event_name(m, F.lit("Delivered")))
-        .when((label == "Delivered") & (user % 2 == 0), _event_name(m, F.lit("Open")))
-        .when(label == "Delivered", _event_name(m, F.lit("")))
-        .otherwise("session end")
-    )
-    odd = (
-        F.when(event % 97 == 5, _event_name(m + MESSAGES_PER_APP, F.lit("Open")))
-        .when(event % 499 == 3, ".mbadidbadidbadid1 Open")
-        .when(event % 211 == 9, ".m4599999999999999 Click")
-    )
-    states = F.array(
-        _state(F.array_repeat(_event(named, t), (1 + event % 3).cast("int"))),
-        _state(F.array(_event(follow, t + 3600.5))),
-        _state(F.when(odd.isNotNull(), F.array(_event(odd, t)))),
-    )
-    variant = FIRST_VARIANT + 2 * m + user % 2
-    taken = F.array_repeat(_variant(variant), F.when(user % 11 == 0, 2).otherwise(1))
-    noise = F.array(_variant(F.lit(1).cast("bigint")))
-    experiments = (
-        F.when(user % 3 == 2, F.slice(noise, 1, 0))
-        .when(user % 7 == 0, F.concat(taken, noise))
-        .otherwise(taken)
-    )
-    attrs = F.transform(
-        F.array(F.lit(0), F.lit(1), F.lit(2)),
-        lambda i: F.when(app % 3 == i, _email(event, user)).otherwise("x"),
-    )
-    return base.select(
-        "user_id", app.alias("app_id"), states.alias("states"),
-        attrs.alias("attrs"), experiments.alias("experiments"), "dt",
-    )
-
-
-def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    return Inputs(
-        sessions(spark, sf_dir),
-        flat_keys(raw_study(spark, sf_dir), "Study"),
-        flat_keys(raw_experiment(spark, sf_dir), "Experiment"),
-        flat_keys(raw_app(spark, sf_dir), "App"),
-    )
-
-
-def _first_snapshot(size: str) -> Column:
-    return F.when(F.col(size) % 25 == 13, 3).otherwise(0)
-
-
-def _div(left: Column, right: int) -> Column:
-    return F.floor(left / right)
-
-
-def _epoch_seconds(ts: Column) -> Column:
-    """Seconds since 1970 of a zone-less timestamp, with its fraction."""
-    whole = F.unix_date(F.to_date(ts)).cast("bigint") * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60
-    return whole.cast("double") + F.extract(F.lit("SECOND"), ts).cast("double")
-
-
-def _event_name(message: Column, label: Column) -> Column:
-    head = F.concat(F.lit(".m"), (FIRST_MESSAGE + message).cast("string"))
-    return F.when(label == "", head).otherwise(F.concat(head, F.lit(" "), label))
-
-
-def _email(event: Column, user: Column) -> Column:
-    box = F.concat(F.lit("u"), user.cast("string"))
-    host = (
-        F.when(user % 10 == 0, "@Gmail.com")
-        .when((user % 10 == 1) & (event % 2 == 1), "@hotmail.com")
-        .when(user % 10 == 1, "@yahoo.com")
-        .when(user % 10 == 2, "@hotmail.com")
-        .when(user % 10 == 3, "@example.org")
-        .when(user % 10 == 5, "")
-        .when(user % 10 == 6, "@QQ.com")
-        .when(user % 10 == 7, "@corp.example")
-        .when(user % 10 == 8, "@icloud.com")
-        .when(user % 10 == 9, "@yahoo.co.uk")
+    base = table(spark, sf_dir, "events").selectExpr(
+        "event_id", "user_id", "event_type", "cast(ts AS date) AS dt",
+        "cast(regexp_extract(props, '([0-9]+)', 1) AS bigint) AS pk",
+        "(event_id * 7 + user_id * 3) % 20 AS code",
+        # Seconds since 1970 of a zone-less timestamp, with its fraction.
+        """cast(unix_date(cast(ts AS date)) * 86400L + hour(ts) * 3600 + minute(ts) * 60 AS double)
+             + cast(extract(SECOND FROM ts) AS double) AS t""",
+    )
+    message = base.selectExpr(
+        "*", "CASE WHEN pk < 40 THEN pk ELSE event_id div 5 END AS m",
+    ).selectExpr(
+        "*",
+        "m div 20 AS app_id",
+        "concat('.m', 4500000000000000 + m) AS head",
+        """CASE WHEN code < 7 THEN '' WHEN code < 12 THEN ' Delivered' WHEN code < 15 THEN ' Open'
+                WHEN code = 15 THEN ' Click' WHEN code = 16 THEN ' Bounce'
+                WHEN code = 17 AND m % 5 = 3 THEN ' Held Back' WHEN code = 17 THEN ' Dropped'
+                WHEN code = 18 AND m % 2 = 1 THEN ' Block' WHEN code = 18 THEN ' Unsubscribe'
+                ELSE ' Marked as spam' END AS tail""",
+        """concat('u', user_id, CASE user_id % 10
+             WHEN 0 THEN '@Gmail.com'
+             WHEN 1 THEN CASE WHEN event_id % 2 = 1 THEN '@hotmail.com' ELSE '@yahoo.com' END
+             WHEN 2 THEN '@hotmail.com' WHEN 3 THEN '@example.org' WHEN 5 THEN '' WHEN 6 THEN '@QQ.com'
+             WHEN 7 THEN '@corp.example' WHEN 8 THEN '@icloud.com' WHEN 9 THEN '@yahoo.co.uk'
+             END) AS email""",
+        "array(named_struct('variant', 9000000000 + 2 * m + user_id % 2)) AS arm",
+    )
+    named = message.selectExpr(
+        "*",
+        "CASE WHEN event_type = 'error' THEN 'session end' ELSE concat(head, tail) END AS first",
+        """CASE WHEN tail = '' THEN concat(head, ' Delivered')
+                WHEN tail = ' Delivered' AND user_id % 2 = 0 THEN concat(head, ' Open')
+                WHEN tail = ' Delivered' THEN head ELSE 'session end' END AS second""",
+        """CASE WHEN event_id % 97 = 5 THEN concat('.m', 4500000000000000 + m + 20, ' Open')
+                WHEN event_id % 499 = 3 THEN '.mbadidbadidbadid1 Open'
+                WHEN event_id % 211 = 9 THEN '.m4599999999999999 Click' END AS third""",
+    )
+
+    def event(name: str, time: str) -> str:
+        return f"named_struct('name', {name}, 'time', {time})"
+
+    return named.selectExpr(
+        "user_id", "app_id",
+        f"""array(
+              struct(array_repeat({event("first", "t")}, cast(1 + event_id % 3 AS int)) AS events),
+              struct(array({event("second", "t + 3600.5D")}) AS events),
+              struct(CASE WHEN third IS NOT NULL THEN array({event("third", "t")}) END AS events)
+            ) AS states""",
+        """array(CASE WHEN app_id % 3 = 0 THEN email ELSE 'x' END,
+                 CASE WHEN app_id % 3 = 1 THEN email ELSE 'x' END,
+                 CASE WHEN app_id % 3 = 2 THEN email ELSE 'x' END) AS attrs""",
+        """CASE WHEN user_id % 3 = 2 THEN array()
+                ELSE concat(arm, CASE WHEN user_id % 11 = 0 THEN arm ELSE array() END,
+                            CASE WHEN user_id % 7 = 0 THEN array(named_struct('variant', 1L)) ELSE array() END)
+                END AS experiments""",
+        "dt",
     )
-    return F.concat(box, host)
-
-
-def _event(name: Column, time: Column) -> Column:
-    return F.struct(name.alias("name"), time.alias("time"))
-
-
-def _state(events: Column) -> Column:
-    return F.struct(events.alias("events"))
-
 
-def _variant(value: Column) -> Column:
-    return F.struct(value.alias("variant"))
 
+class DerivedInputs(Inputs):
+    """The inputs over one folder of tables, each built when first asked for."""
 
-def _var(name: Column, text: Column) -> Column:
-    return F.struct(name.alias("name"), F.struct(text.alias("text")).alias("value"))
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
 
+    @cached_property
+    def sessions(self) -> DataFrame:
+        return sessions(self.spark, self.sf_dir)
 
-def _vars_if(condition: Column, var: Column) -> Column:
-    one = F.array(var)
-    return F.when(condition, one).otherwise(F.slice(one, 1, 0))
+    @cached_property
+    def study(self) -> DataFrame:
+        return flat_keys(raw_study(self.spark, self.sf_dir), "Study")
 
+    @cached_property
+    def experiment(self) -> DataFrame:
+        return flat_keys(raw_experiment(self.spark, self.sf_dir), "Experiment")
 
-def _category(number: int, name: str) -> Column:
-    return F.struct(F.lit(number).cast("bigint").alias("id"), F.lit(name).alias("name"))
+    @cached_property
+    def app(self) -> DataFrame:
+        return flat_keys(raw_app(self.spark, self.sf_dir), "App")

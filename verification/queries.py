@@ -80,7 +80,7 @@ def scratch(spark: SparkSession) -> str:
 
 
 def plan(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: build(fx.inputs(spark, sf_dir))
+    return lambda spark, sf_dir: build(fx.DerivedInputs(spark, sf_dir))
 
 
 # Sources and sinks
@@ -151,7 +151,7 @@ def src_unnest_ids(spark, sf_dir):
 
 def sink_report_csv(spark, sf_dir):
     path = scratch(spark)
-    report = domain_report(fx.inputs(spark, sf_dir), fx.START, fx.END)
+    report = domain_report(fx.DerivedInputs(spark, sf_dir), fx.START, fx.END)
     write_report(report, "domain", fx.START, fx.END, path)
     written = spark.read.options(**CSV_OPTIONS).csv(path)
     return written.select([F.col(c).cast("string").alias(c) for c in written.columns])
@@ -372,8 +372,7 @@ def join_domain_study(inputs):
 
 
 def join_subject_lines(inputs):
-    lines = subject_lines(window(inputs).experiment).drop("is_newest")
-    return pivot_subject(inputs).join(lines, "message_id")
+    return pivot_subject(inputs).join(subject_lines(window(inputs).experiment), "message_id")
 
 
 def subject_counters(inputs):
