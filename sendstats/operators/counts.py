@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sendstats.functions.events import UNIQUE_LABELS
@@ -35,8 +35,7 @@ def uniques(events: DataFrame, keys: Sequence[str], unique_keys: Sequence[str])
 
 def pivot_counters(counts: DataFrame, keys: Sequence[str], counters: dict[str, str]) -> DataFrame:
     """Label rows to one column per counter."""
-    sums = [_when_label(label, F.col("occurrence")).alias(name) for label, name in counters.items()]
-    return counts.groupBy(*keys).agg(*sums)
+    return counts.groupBy(*keys).agg(*_sums(counters))
 
 
 def pivot_uniques(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -54,14 +53,17 @@ def message_counters(
     tracked = F.col("label").isin(*UNIQUE_LABELS)
     marks = [F.when(tracked, F.col(k)).alias(f"_{k}") for k in unique_keys]
     first = events.groupBy(*keys, "label", *marks).agg(F.count(F.lit(1)).alias("occurrence"))
-    sums = [_when_label(label, F.col("occurrence")).alias(name) for label, name in counters.items()]
+    columns = _sums(counters)
     if unique_keys:
-        sums += [F.count_if(F.col("label") == label).alias(f"Unique_{label}") for label in UNIQUE_LABELS]
-    return first.groupBy(*keys).agg(*sums)
+        columns += [F.expr(f"count_if(label = '{u}')").alias(f"Unique_{u}") for u in UNIQUE_LABELS]
+    return first.groupBy(*keys).agg(*columns)
 
 
-def _when_label(label: str, value):
-    return F.sum(F.when(F.col("label") == label, value).otherwise(0))
+def _sums(counters: dict[str, str]) -> list[Column]:
+    return [
+        F.expr(f"sum(if(label = '{label}', occurrence, 0))").alias(name)
+        for label, name in counters.items()
+    ]
 
 
 def counters_of_messages(
