@@ -40,8 +40,9 @@ def run_report(
     plan, columns, layout = REPORTS[report_type]
     if snapshot_source:
         ingest_snapshots(spark, snapshot_source, root, start, end)
-    scope = {"company_id": int(report_id)}
     if report_id.startswith(APP_PREFIX):
         scope = {"app_id": int(report_id.removeprefix(APP_PREFIX))}
+    else:
+        scope = {"company_id": int(report_id)}
     report = plan(read_inputs(spark, root, columns), start, end, link_base=link_base, **scope)
     write_report(report, layout, start, end, out)
