@@ -1,4 +1,4 @@
-"""Broadcasts behind a check of the size."""
+"""Broadcasts behind a check of the size, and what is done beyond it."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Rows of two or three 8-byte numbers: this many stay near 100 MB when hashed.
 MAX_BROADCAST_ROWS = 1_000_000
+# Parts that the rows of one key are dealt to in a shuffle join.
+SALTS = 32
 
 
 def few_rows(df: DataFrame) -> bool:
@@ -22,9 +24,19 @@ def few_rows(df: DataFrame) -> bool:
 
 
 def join_few(big: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Join sessions or events with an id list.
+    """Inner or left-semi join of sessions, as they are scanned, with an id list.
 
-    A list that turns out long is joined by a shuffle, in which adaptive
-    execution splits the partitions of dominating keys.
+    A list that turns out long is joined by a shuffle. There one key may hold a
+    large part of all sessions, so its rows are dealt in turn to ``SALTS`` parts,
+    each of which meets its own copy of the list. The turn is the row's place in
+    its file split, the same again when a lost task is repeated, and splits up
+    identical rows too.
     """
-    return big.join(F.broadcast(small) if few_rows(small) else small, on, how)
+    if few_rows(small):
+        return big.join(F.broadcast(small), on, how)
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salted = big.withColumn("_salt", turn).join(
+        small.withColumn("_salt", copies), [*on, "_salt"], how
+    )
+    return salted.drop("_salt")
