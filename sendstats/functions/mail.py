@@ -47,10 +47,11 @@ EMAIL = "__Email"
 PUSH = "__Push Notification"
 
 
-def recipient_domain(email: Column) -> Column:
+def recipient_domain(email: str) -> Column:
     """Domain after the first ``@`` when listed, else ``Other`` (also for NULL)."""
-    domain = F.regexp_extract(email, "@(.+)", 1)
-    return F.when(domain.isin(*LISTED_DOMAINS), domain).otherwise(OTHER_DOMAIN)
+    domain = f"regexp_extract({email}, '@(.+)', 1)"
+    listed = ", ".join(f"'{name}'" for name in LISTED_DOMAINS)
+    return F.expr(f"CASE WHEN {domain} IN ({listed}) THEN {domain} ELSE '{OTHER_DOMAIN}' END")
 
 
 def sender_domain(address: Column) -> Column:

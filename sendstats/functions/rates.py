@@ -20,10 +20,10 @@ PUSH_RATES = {
 }
 
 
-def percent(part: Column, base: Column) -> Column:
-    """100 * part / base, and 0.0 on an empty base."""
-    ratio = part.cast("double") / base.cast("double") * 100.0
-    return F.when(base > 0, ratio).otherwise(0.0)
+def percent(part: str, base: str) -> Column:
+    """100 * part / base of two counter columns, and 0.0 on an empty base."""
+    ratio = f"cast({part} AS double) / cast({base} AS double) * 100.0D"
+    return F.expr(f"CASE WHEN {base} > 0 THEN {ratio} ELSE 0.0D END")
 
 
 def percent_text(pct: Column) -> Column:
@@ -41,9 +41,7 @@ def percent_text(pct: Column) -> Column:
 
 
 def with_rates(df: DataFrame, rates: dict[str, tuple[str, str]]) -> DataFrame:
-    return df.withColumns(
-        {name: percent(F.col(part), F.col(base)) for name, (part, base) in rates.items()}
-    )
+    return df.withColumns({name: percent(part, base) for name, (part, base) in rates.items()})
 
 
 def with_display(df: DataFrame) -> DataFrame:

@@ -75,5 +75,5 @@ def with_email(sessions: DataFrame, positions: DataFrame) -> DataFrame:
     email = F.lower(F.get("attrs", F.col("email_at")))
     located = join_few(sessions, positions, ["app_id"], "inner")
     return located.select(*carried, email.alias("email")).withColumn(
-        "Domain", recipient_domain(F.col("email"))
+        "Domain", recipient_domain("email")
     )

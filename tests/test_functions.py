@@ -69,7 +69,7 @@ def test_recipient_domain(spark):
         ("x@yahoo.co.uk", "yahoo.co.uk"),
         ("x@sub.gmail.com", "Other"),
     ]
-    found = values(spark, rows, "email string, d string", mail.recipient_domain(F.col("email")), "d")
+    found = values(spark, rows, "email string, d string", mail.recipient_domain("email"), "d")
     assert all(got == want for got, want in found)
     assert len(mail.LISTED_DOMAINS) == len(set(mail.LISTED_DOMAINS)) == 22
 
@@ -104,8 +104,8 @@ def test_percent_text_is_the_start_of_the_plain_decimal(spark):
     pairs += [(1, 3_000_000), (123_456_789, 1), (12_345_678_901, 7), (1, 1_000), (1, 99_999)]
     found = values(
         spark, pairs, "a bigint, b bigint", "a", "b",
-        rates.percent(F.col("a"), F.col("b")),
-        rates.percent_text(rates.percent(F.col("a"), F.col("b"))),
+        rates.percent("a", "b"),
+        rates.percent_text(rates.percent("a", "b")),
     )
     for a, b, pct, text in found:
         want = a / b * 100.0 if b else 0.0
