@@ -7,6 +7,7 @@ import re
 import pytest
 
 import scenario as s
+from sendstats.operators import sizing
 from sendstats.plans.domain import domain_report
 from sendstats.plans.inputs import read_inputs
 from sendstats.plans.push import push_report
@@ -75,3 +76,17 @@ def test_ids_filter_the_events_before_the_first_shuffle(spark, root):
     last_semi = max(i for i, line in enumerate(above) if "BroadcastHashJoin" in line and "LeftSemi" in line)
     last_shuffle = max(i for i, line in enumerate(above) if "Exchange hashpartitioning" in line)
     assert last_shuffle < last_semi
+
+
+def test_newest_rows_are_limited_before_their_shuffle(spark, root):
+    plan = executed(domain_report(read_inputs(spark, root, "domain"), s.START, s.END))
+    windows = sum("Window [row_number()" in line for line in plan.splitlines())
+    limits = sum("WindowGroupLimit" in line and "Partial" in line for line in plan.splitlines())
+    assert limits == windows > 0
+
+
+def test_long_app_lists_are_joined_salted(spark, root, monkeypatch):
+    monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", -1)
+    plan = executed(domain_report(read_inputs(spark, root, "domain"), s.START, s.END))
+    assert "monotonically_increasing_id" in plan
+    assert len(session_scans(plan)) == 1

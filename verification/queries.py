@@ -73,10 +73,13 @@ DOMAIN_UNIQUE = ["user_id", "email", "day"]
 
 def scratch(spark: SparkSession) -> str:
     """A fresh folder that all executors see: below the cluster's shared
-    checkpoint folder, or a local one where none is set (tests)."""
+    checkpoint folder, or a local one in local mode (tests)."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared.rstrip("/") if shared else tempfile.mkdtemp(prefix="sendstats-")
-    return f"{root}/{uuid.uuid4().hex}"
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        shared = tempfile.mkdtemp(prefix="sendstats-")
+    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def plan(build: Callable[[Inputs], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -91,12 +94,11 @@ def src_sessions_range(spark, sf_dir):
     fx.sessions(spark, sf_dir).write.partitionBy("dt").parquet(path)
     start, end = "20240105", "20240124"
     check_window(start, end, as_of="20240205")
-    found = explode_events(scan_sessions(spark, path, start, end).withColumn("session", F.lit(1)))
-    events = found.groupBy("dt", "app_id").agg(F.count(F.lit(1)).alias("events"))
-    sessions = scan_sessions(spark, path, start, end).groupBy("dt", "app_id").agg(
-        F.count(F.lit(1)).alias("sessions")
+    per_session = F.expr("aggregate(states, 0L, (n, s) -> n + coalesce(array_size(s.events), 0))")
+    counts = scan_sessions(spark, path, start, end).groupBy("dt", "app_id").agg(
+        F.count(F.lit(1)).alias("sessions"), F.sum(per_session).alias("events")
     )
-    return sessions.join(events, ["dt", "app_id"]).withColumn("dt", day_text(F.col("dt")))
+    return counts.withColumn("dt", day_text(F.col("dt")))
 
 
 def src_snapshots_range(spark, sf_dir):
