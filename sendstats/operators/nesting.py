@@ -64,16 +64,16 @@ def email_position(app: DataFrame) -> DataFrame:
     return app.select("app_id", (F.coalesce(place, F.lit(0)) - 1).cast("int").alias("email_at"))
 
 
-def with_email(sessions: DataFrame, positions: DataFrame) -> DataFrame:
+def with_email(sessions: DataFrame, positions: DataFrame, how: str = "inner") -> DataFrame:
     """Replace ``attrs`` by the recipient's lower-case ``email`` and its ``Domain``,
-    for the sessions of the apps in ``positions``.
+    for the sessions of the apps in ``positions`` or, with a left join, for all.
 
     Runs before the events are exploded, so the look-up and the regular
     expression cost one call per session.
     """
     carried = [c for c in sessions.columns if c != "attrs"]
     email = F.lower(F.get("attrs", F.col("email_at")))
-    located = join_few(sessions, positions, ["app_id"], "inner")
+    located = join_few(sessions, positions, ["app_id"], how)
     return located.select(*carried, email.alias("email")).withColumn(
         "Domain", recipient_domain("email")
     )

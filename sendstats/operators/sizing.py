@@ -24,7 +24,7 @@ def few_rows(df: DataFrame) -> bool:
 
 
 def join_few(big: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Inner or left-semi join of sessions, as they are scanned, with an id list.
+    """Inner, left or left-semi join of sessions, as they are scanned, with an id list.
 
     A list that turns out long is joined by a shuffle. There one key may hold a
     large part of all sessions, so its rows are dealt in turn to ``SALTS`` parts,

@@ -212,13 +212,15 @@ def test_variant_counters_match_brute_force(spark, monkeypatch, few):
     assert rows(found) == sorted(want, key=str)
 
 
-def test_join_few_gives_the_same_rows_either_way(spark, monkeypatch):
-    big = spark.range(1000).select((F.col("id") % 10).alias("k"), "id")
-    small = spark.createDataFrame([(1,), (3,)], "k bigint")
-    few = rows(sizing.join_few(big, small, ["k"], "left_semi"))
+@pytest.mark.parametrize("how, count", [("left_semi", 200), ("inner", 200), ("left", 1000)])
+def test_join_few_gives_the_same_rows_either_way(spark, monkeypatch, how, count):
+    # Ten identical rows each: copies are dealt to different parts, none is lost.
+    big = spark.range(1000).select((F.col("id") % 10).alias("k"), F.floor(F.col("id") / 100).alias("v"))
+    small = spark.createDataFrame([(1, "a"), (3, "b")], "k bigint, w string")
+    few = rows(sizing.join_few(big, small, ["k"], how))
     monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", 1)
-    many = sizing.join_few(big, small, ["k"], "left_semi")
-    assert rows(many) == few and len(few) == 200
+    many = sizing.join_few(big, small, ["k"], how)
+    assert rows(many) == few and len(few) == count
 
 
 def test_all_rows(spark):

@@ -246,20 +246,18 @@ def nest_event_variants(inputs):
 
 
 def nest_email_attr(inputs):
-    sessions = inputs.sessions.select("user_id", "app_id", "dt", "attrs")
-    located = with_email(sessions, _all_positions(inputs))
+    located = _with_any_email(inputs, inputs.sessions.select("user_id", "app_id", "dt", "attrs"))
     return located.select("user_id", "app_id", "email", day_text(F.col("dt")).alias("dt"))
 
 
 def str_domain(inputs):
-    located = with_email(inputs.sessions.select("app_id", "attrs"), _all_positions(inputs))
+    located = _with_any_email(inputs, inputs.sessions.select("app_id", "attrs"))
     return located.groupBy("email", "Domain").agg(F.count(F.lit(1)).alias("sessions"))
 
 
-def _all_positions(inputs):
-    """Positions of every app that has sessions, also of those without an entity."""
-    apps = inputs.sessions.select("app_id").distinct()
-    return apps.join(email_position(inputs.live_app), "app_id", "left")
+def _with_any_email(inputs, sessions):
+    """Emails of all sessions, NULL for those of an app without an entity."""
+    return with_email(sessions, email_position(inputs.live_app), "left")
 
 
 def flt_message_events(inputs):
@@ -289,7 +287,7 @@ def all_events(inputs, *columns):
 
 def email_domain_events(inputs):
     sessions = window(inputs).sessions.select("app_id", "user_id", "states", "attrs")
-    return message_events(with_email(sessions, _all_positions(inputs)))
+    return message_events(_with_any_email(inputs, sessions))
 
 
 def email_ids(inputs):
