@@ -2,10 +2,14 @@
 
 1. Texts with the same weighted shingles make one class, whatever its size.
 2. Class signatures are cut to bands; classes that share a band are candidates.
-3. In each band group, every class is compared with one of its members. Links are
-   verified by the Jaccard similarity of the shingle sets, and linked classes joined.
-4. Members of one group that are still apart are compared with all other members that
-   are; groups whose classes are joined already, as copies soon are, need none of this.
+3. In each band group, every class is compared with one member, the group's centre, so
+   that a group of any size gives no more pairs than it has members. Links are verified
+   by the Jaccard similarity of the shingle sets, and linked classes joined.
+
+Centres differ from band to band. Two texts that are similar share ten of the 24 bands on
+average, and four of the 24 double ones; they are joined by any group whose centre is one
+of them or is similar to both. Groups are small where slots come from text that only they
+share, and where many texts have a passage in common, the double bands tell them apart.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from sendstats.llm.common import materialize, once, shingle_hashes, words_of
 from sendstats.llm.probminhash import bands, fingerprints, signatures, weighted
 
 MIN_SIMILARITY = 0.8
-# 24 bands of 4 slots: a pair at 0.8 is missed with a probability of 3e-6.
+# 24 bands of 4 slots: a pair at 0.8 shares none with a probability of 3e-6.
 BANDS, ROWS = 24, 4
 # Shingles that are worked on together: bounds the memory of a task.
 CHUNK = 400_000
@@ -49,7 +53,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             marks = fingerprints(n, sets, elements, weights).view(np.int64)
             signed = bands(signatures(n, sets, elements, weights, BANDS * ROWS), ROWS).view(np.int64)
             # Texts without words have no band; they all make one class.
-            offsets = np.concatenate(([0], np.cumsum(np.where(lengths > 0, BANDS, 0)))).astype(np.int32)
+            offsets = np.concatenate(([0], np.cumsum(np.where(lengths > 0, 2 * BANDS, 0)))).astype(np.int32)
             values = signed[lengths > 0].reshape(-1)
             yield pa.RecordBatch.from_arrays(
                 [ids.slice(at, n), pa.array(marks[:, 0]), pa.array(marks[:, 1]),
@@ -137,7 +141,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     likely = pairs.groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
     at = components(at, _links(likely, texts))
     at = components(at, _links(_apart(pairs.select("a", "b"), at), texts))
-    at = components(at, _links(_apart_in_groups(members, at), texts))
     named = classes.select(*CLASS, "node").join(at, "node", "left").select(*CLASS, F.coalesce("label", "node").alias("class_id"))
     return signed.select("doc_id", *CLASS).join(named, CLASS).select("doc_id", "class_id")
 
@@ -149,16 +152,6 @@ def _apart(pairs: DataFrame, at: DataFrame) -> DataFrame:
     return pairs.join(la, "a").join(lb, "b").where("la <> lb").select("a", "b")
 
 
-def _apart_in_groups(members: DataFrame, at: DataFrame) -> DataFrame:
-    """Pairs of classes that share a band and are not joined yet; those with a centre were compared."""
-    labelled = members.join(at, "node").select("key", "centre", "node", "label")
-    split = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y")
-    open_ = materialize(labelled.join(split.select("key"), "key", "left_semi"), "open")
-    left = open_.where("node <> centre").select("key", F.col("node").alias("a"), F.col("label").alias("la"))
-    right = open_.where("node <> centre").select("key", F.col("node").alias("b"), F.col("label").alias("lb"))
-    return left.join(right, "key").where("a < b AND la <> lb").select("a", "b").distinct()
-
-
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of each class of ``near_duplicates``, that of its smallest id, with the columns of ``docs``."""
     kept = near_duplicates(docs).groupBy("class_id").agg(F.min("doc_id").alias("_kept")).select("_kept")

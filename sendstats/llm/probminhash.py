@@ -76,11 +76,13 @@ def fingerprints(n_sets: int, sets: np.ndarray, elements: np.ndarray, counts: np
 
 
 def bands(signature: np.ndarray, rows: int) -> np.ndarray:
-    """Hash each run of ``rows`` slots together with its place."""
+    """Hash each run of ``rows`` slots together with its place, and each run with the next one."""
     n, slots = signature.shape
     grouped = signature.reshape(n, slots // rows, rows)
     with np.errstate(over="ignore"):
         out = np.broadcast_to(np.arange(slots // rows, dtype=np.uint64) * GOLDEN, (n, slots // rows)).copy()
         for r in range(rows):
             out = mixed(out + GOLDEN ^ grouped[:, :, r])
-    return out
+        # Two neighbouring bands together are a band of twice the length.
+        double = mixed(mixed(out) + GOLDEN ^ np.roll(out, -1, axis=1))
+    return np.concatenate([out, double], axis=1)
