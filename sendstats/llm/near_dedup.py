@@ -5,6 +5,8 @@
 3. In each band group, every class is compared with one member, the group's centre, so
    that a group of any size gives no more pairs than it has members. Links are verified
    by the Jaccard similarity of the shingle sets, and linked classes joined.
+4. Groups of double bands that still hold classes apart get another centre, for as long
+   as that joins any.
 
 Centres differ from band to band. Two texts that are similar share ten of the 24 bands on
 average, and four of the 24 double ones; they are joined by any group whose centre is one
@@ -75,12 +77,12 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return common.where(F.col("n") >= MIN_SIMILARITY * (F.size("sa") + F.size("sb") - F.col("n"))).select("a", "b")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def components(nodes: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
     """(node, label) with the smallest node of each connected component as label.
 
     ``nodes``: node, label so far; ``links``: a, b. Each round a component takes the
     smallest label next to it; labels are followed to their own labels. It ends when
-    nothing changes.
+    nothing changes. The second result tells whether anything did.
     """
     edges = materialize(links.union(links.select("b", "a")).toDF("a", "b"), "edges")
     at = nodes
@@ -91,7 +93,7 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         met = edges.join(label, "a").join(other, "b").where("lb < la").groupBy("la").agg(F.min("lb").alias("to"))
         moves = materialize(met, "moves")
         if moves.isEmpty():
-            return at
+            return at, at is not nodes
         # Follow chains of moves to their ends, doubling the step; labels only get smaller.
         while True:
             onward = moves.select(F.col("la").alias("to"), F.col("to").alias("next"))
@@ -122,7 +124,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.coalesce(F.min("doc_id").cast("long"), F.first("_f1")).alias("node"), F.first("bands").alias("bands")
     )
     classes = materialize(classes, "classes")
-    keyed = classes.select("node", F.explode("bands").alias("key"))
+    keyed = classes.select("node", F.posexplode("bands").alias("place", "key"))
+    keyed = keyed.select("node", "key", (F.col("place") >= BANDS).alias("double"))
     # Each group's centre is another member, so that a large group has many.
     groups = keyed.groupBy("key").agg(
         F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node")).alias("c"), F.count(F.lit(1)).alias("n")
@@ -139,8 +142,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     at = materialize(members.select("node").distinct().withColumn("label", F.col("node")), "labels")
     # First each class and the member it shares the most bands with, in either direction.
     likely = pairs.groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-    at = components(at, _links(likely, texts))
-    at = components(at, _links(_apart(pairs.select("a", "b"), at), texts))
+    at, _ = components(at, _links(likely, texts))
+    at, _ = components(at, _links(_apart(pairs.select("a", "b"), at), texts))
+    turn, more = 0, True
+    while more:
+        turn += 1
+        at, more = components(at, _links(_recentred(members.where("double"), at, turn), texts))
     named = classes.select(*CLASS, "node").join(at, "node", "left").select(*CLASS, F.coalesce("label", "node").alias("class_id"))
     return signed.select("doc_id", *CLASS).join(named, CLASS).select("doc_id", "class_id")
 
@@ -152,6 +159,17 @@ def _apart(pairs: DataFrame, at: DataFrame) -> DataFrame:
     return pairs.join(la, "a").join(lb, "b").where("la <> lb").select("a", "b")
 
 
+def _recentred(members: DataFrame, at: DataFrame, turn: int) -> DataFrame:
+    """Pairs of a member and another centre of its group, where the two are not joined yet."""
+    labelled = members.join(at, "node").select("key", "node", "label")
+    centre = F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)).alias("h"), "node", "label"))
+    groups = labelled.groupBy("key").agg(centre.alias("c"), F.min("label").alias("x"), F.max("label").alias("y"))
+    groups = groups.where("x <> y").select("key", F.col("c.node").alias("centre"), F.col("c.label").alias("its"))
+    return labelled.join(groups, "key").where("label <> its").select(
+        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
+    ).distinct()
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of each class of ``near_duplicates``, that of its smallest id, with the columns of ``docs``."""
     kept = near_duplicates(docs).groupBy("class_id").agg(F.min("doc_id").alias("_kept")).select("_kept")
