@@ -31,6 +31,8 @@ PUSH_COUNTERS = {
 UNIQUE_LABELS = ("Open", "Click")
 
 SECONDS_PER_DAY = 86400
+# 0001-01-01 and 9999-12-31 in days since 1970.
+FIRST_DAY, LAST_DAY = -719_162, 2_932_896
 
 
 def is_message_event(name: Column) -> Column:
@@ -51,10 +53,13 @@ def utc_day(seconds: Column) -> Column:
     """UTC date of epoch seconds, whatever the session time zone is.
 
     The seconds are cut to whole seconds first (toward zero), as an integer
-    cast does.
+    cast does. Times outside the years 1 to 9999, as of stamps in other units,
+    have no date.
     """
     whole = seconds.try_cast("bigint")
-    return F.date_from_unix_date(F.floor(whole / SECONDS_PER_DAY).cast("int"))
+    days = F.floor(whole / SECONDS_PER_DAY)
+    known = F.when(days.between(FIRST_DAY, LAST_DAY), days)
+    return F.date_from_unix_date(known.cast("int"))
 
 
 def day_text(date: Column) -> Column:

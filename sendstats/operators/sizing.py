@@ -16,11 +16,11 @@ SALTS = 32
 def few_rows(df: DataFrame) -> bool:
     """Whether ``df`` has few enough rows to be broadcast.
 
-    It is counted, as a size estimate sees neither what an explode adds nor what
+    It is counted, no further than the limit, as a size estimate sees neither what an explode adds nor what
     a join drops. Meant for narrow id lists out of dimension snapshots, which
     are tiny next to the sessions they are joined to.
     """
-    return df.count() <= MAX_BROADCAST_ROWS
+    return df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
 
 
 def join_few(big: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataFrame:

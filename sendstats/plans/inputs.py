@@ -89,6 +89,8 @@ class Scope:
     def __post_init__(self):
         if self.company_id is not None and self.app_id is not None:
             raise ValueError("a report covers a company or an app, not both")
+        if self.app_id is None and on_day(self.inputs.app, self.end).isEmpty():
+            raise ValueError(f"no App snapshot of {self.end}, which lists the apps of the report")
 
     def listing(self) -> DataFrame:
         """Name and default sender of each covered app.

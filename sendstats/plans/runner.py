@@ -21,6 +21,7 @@ REPORTS = {
     "p": (push_report, "push", "push"),
 }
 DELETE = "delete"
+ALL_APPS = "all"
 APP_PREFIX = "__A"  # marks an app id, anything else is a company id
 
 
@@ -28,7 +29,7 @@ def run_report(
     spark: SparkSession, root: str, report_id: str, start, end, report_type: str,
     out: str, as_of, snapshot_source: str | None = None, link_base: str = DEFAULT_LINK_BASE,
 ) -> None:
-    """Run one report for a company or an app and write its CSV files to ``out``.
+    """Run one report for a company, an app or all apps and write its CSV files to ``out``.
 
     With ``snapshot_source`` the window's snapshot files are loaded first. The
     report type ``delete`` removes the window's loaded snapshots instead.
@@ -42,6 +43,8 @@ def run_report(
         ingest_snapshots(spark, snapshot_source, root, start, end)
     if report_id.startswith(APP_PREFIX):
         scope = {"app_id": int(report_id.removeprefix(APP_PREFIX))}
+    elif report_id == ALL_APPS:
+        scope = {}
     else:
         scope = {"company_id": int(report_id)}
     report = plan(read_inputs(spark, root, columns), start, end, link_base=link_base, **scope)

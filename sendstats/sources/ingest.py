@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
+import warnings
 from collections.abc import Iterator, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,8 @@ from sendstats.sources.schemas import SNAPSHOTS
 
 # Fixed value: days after this one follow the newer naming rule.
 LAST_OLD_DAY = dt.date(2018, 4, 26)
+# Fixed value: names below a day's folder that hold this are no snapshots.
+OUTPUT = "output"
 
 
 def days_between(start, end) -> Iterator[dt.date]:
@@ -34,12 +40,23 @@ def snapshot_pattern(model: str, day: dt.date) -> tuple[str, str]:
 
 
 def find_snapshot(spark: SparkSession, src: str, model: str, day: dt.date) -> str | None:
-    """The day's file of a model, only when exactly one matches."""
+    """The day's file of a model, at any depth, only when exactly one matches."""
     prefix, part = snapshot_pattern(model, day)
-    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{src}/{prefix}*/*")
-    found = _file_system(spark, src).globStatus(glob) or []
-    paths = [status.getPath() for status in found]
-    matching = [p.toString() for p in paths if part in _below(p, prefix).lower()]
+    fs = _file_system(spark, src)
+    glob = spark._jvm.org.apache.hadoop.fs.Path(f"{src}/{prefix}*")
+    matching = []
+    # A match is taken whole, be it a file or a folder of part files.
+    below = [entry for top in fs.globStatus(glob) or [] if top.isDirectory() for entry in fs.listStatus(top.getPath())]
+    while below:
+        entry = below.pop()
+        path = entry.getPath()
+        name = _below(path, prefix).lower()
+        if path.getName().startswith((".", "_")) or OUTPUT in name:
+            continue
+        if part in name:
+            matching.append(path.toString())
+        elif entry.isDirectory():
+            below.extend(fs.listStatus(path))
     return matching[0] if len(matching) == 1 else None
 
 
@@ -48,8 +65,9 @@ def ingest_snapshots(
 ) -> dict[str, list[dt.date]]:
     """Append the days that are missing under ``<dst>/<model>/dt=...``.
 
-    Each model is one read and one write over all its new days. Returns the days
-    loaded per model. Only file names pass through the driver.
+    Each model is one read and one write over all its new days; if that fails, its
+    days are loaded one by one, and those that cannot be are left out with a warning.
+    Returns the days loaded per model. Only file names pass through the driver.
     """
     loaded = {}
     for model in models:
@@ -59,9 +77,7 @@ def ingest_snapshots(
                 path = find_snapshot(spark, src, model, day)
                 if path:
                     new[day] = path
-        loaded[model] = sorted(new)
-        if new:
-            _copy(spark, new, model, f"{dst}/{model}")
+        loaded[model] = _load(spark, new, model, f"{dst}/{model}") if new else []
     return loaded
 
 
@@ -75,6 +91,22 @@ def remove_snapshots(
             fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{dst}/{model}/dt={day}"), True)
 
 
+def _load(spark: SparkSession, new: dict[dt.date, str], model: str, dst: str) -> list[dt.date]:
+    """Load all days at once or else one by one; the days that are there then."""
+    try:
+        _copy(spark, new, model, dst)
+        return sorted(new)
+    except (Py4JJavaError, PySparkException):
+        done = []
+        for day in sorted(new):
+            try:
+                _copy(spark, {day: new[day]}, model, dst)
+                done.append(day)
+            except (Py4JJavaError, PySparkException) as failure:
+                warnings.warn(f"{model} of {day} is not loaded: {failure}"[:500], stacklevel=2)
+        return done
+
+
 def _copy(spark: SparkSession, paths: dict[dt.date, str], model: str, dst: str) -> None:
     stored = SNAPSHOTS[model]
     schema = type(stored)([field for field in stored if field.name != "dt"])
@@ -85,7 +117,17 @@ def _copy(spark: SparkSession, paths: dict[dt.date, str], model: str, dst: str)
     every = days[0]
     for day in days[1:]:
         every = every.unionByName(day)
-    every.write.mode("append").partitionBy("dt").parquet(dst)
+    # A day's folder appears by a rename once its files are complete; readers and
+    # later loads pass over names that start with an underscore.
+    side = f"{dst}/_loading-{uuid.uuid4().hex}"
+    every.write.partitionBy("dt").parquet(side)
+    fs, path = _file_system(spark, dst), spark._jvm.org.apache.hadoop.fs.Path
+    for day in paths:
+        if fs.exists(path(f"{side}/dt={day}")):
+            fs.rename(path(f"{side}/dt={day}"), path(f"{dst}/dt={day}"))
+        else:
+            fs.mkdirs(path(f"{dst}/dt={day}"))
+    fs.delete(path(side), True)
 
 
 def _below(path, prefix: str) -> str:

@@ -60,7 +60,8 @@ def csv_view(report: DataFrame, kind: str, start, end) -> DataFrame:
 def write_report(report: DataFrame, kind: str, start, end, path: str) -> None:
     """Write ``<path>/app_id=.../report=.../*.csv``, sorted by message.
 
-    An app without rows writes nothing. ``rebalance`` gathers an app's rows and
+    Other reports in the same folder stay; a rerun replaces its own files. An app
+    without rows writes nothing. ``rebalance`` gathers an app's rows and
     splits an app that is too large for one task.
     """
     view = csv_view(report, kind, start, end)
@@ -71,4 +72,5 @@ def write_report(report: DataFrame, kind: str, start, end, path: str) -> None:
     elif "Subject" in view.columns:
         order += ["Subject"]
     rows = view.hint("rebalance", "app_id").sortWithinPartitions(*folder, *order)
-    rows.drop("message_id").write.partitionBy(*folder).options(**CSV_OPTIONS).csv(path)
+    writer = rows.drop("message_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*folder).options(**CSV_OPTIONS).csv(path)

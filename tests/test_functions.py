@@ -49,6 +49,12 @@ def test_utc_day_cuts_the_fraction_and_ignores_the_session_zone(spark):
     assert [v for v, in found] == ["2024-01-01", "2024-01-02", "2024-01-02", None, None]
 
 
+def test_utc_day_of_stamps_in_other_units_is_missing(spark):
+    rows = [(1.7e15,), (1.7e12,), (-1e18,), (253402300799.0,), (253402300800.0,)]
+    found = values(spark, rows, "t double", events.day_text(events.utc_day(F.col("t"))))
+    assert [v for v, in found] == [None, None, None, "9999-12-31", None]
+
+
 def test_start_date_is_utc(spark):
     late = dt.datetime(2024, 3, 1, 23, 59, 59, tzinfo=dt.timezone.utc).timestamp()
     found = values(

@@ -121,3 +121,38 @@ def test_runner_refuses_old_windows_and_unknown_reports(spark, root, tmp_path):
         run_report(spark, root, "50", s.START, s.END, "p", str(tmp_path / "a"), as_of="20240601")
     with pytest.raises(KeyError):
         run_report(spark, root, "50", s.START, s.END, "x", str(tmp_path / "a"), as_of="20240310")
+
+
+def test_reports_share_a_folder_and_a_rerun_replaces_its_own(spark, root, tmp_path):
+    out = tmp_path / "reports"
+    for kind in ("p", "s0", "d", "d"):
+        run_report(spark, root, "50", s.START, s.END, kind, str(out), as_of="20240310")
+    alone = tmp_path / "alone"
+    run_report(spark, root, "50", s.START, s.END, "d", str(alone), as_of="20240310")
+    found, one = lines(out), lines(alone)
+    assert len(found) == 3 and one.items() <= found.items()
+
+
+def test_a_report_on_all_apps(spark, root, tmp_path):
+    for who in ("all", "50"):
+        run_report(spark, root, who, s.START, s.END, "p", str(tmp_path / who), as_of="20240310")
+    assert lines(tmp_path / "50").items() <= lines(tmp_path / "all").items()
+
+
+def test_a_company_report_needs_the_apps_of_its_last_day(spark, root, tmp_path):
+    with pytest.raises(ValueError, match="no App snapshot"):
+        run_report(spark, root, "50", "20240301", "20240304", "p", str(tmp_path / "p"), as_of="20240310")
+
+
+def test_snapshots_lie_at_any_depth_and_fail_alone(spark, tmp_path):
+    src, dst = tmp_path / "in", str(tmp_path / "out")
+    schema = type(SNAPSHOTS["App"])([f for f in SNAPSHOTS["App"] if f.name != "dt"])
+    row = ((1,), (50,), "deep", "d@x", "mail", ["mail"], None)
+    spark.createDataFrame([row], schema).write.parquet(f"{src}/20180427000000/space/kinds/all_app.metadata")
+    spark.createDataFrame([row], schema).write.parquet(f"{src}/20180427000000/output/all_app.metadata")
+    (src / "20180428000000").mkdir()
+    (src / "20180428000000" / "all_app.metadata").write_text("no parquet")
+    with pytest.warns(UserWarning, match="App of 2018-04-28"):
+        loaded = ingest_snapshots(spark, str(src), dst, "20180427", "20180428", ["App"])
+    assert loaded == {"App": [dt.date(2018, 4, 27)]}
+    assert [r.name for r in read_snapshots(spark, f"{dst}/App", "App").collect()] == ["deep"]
