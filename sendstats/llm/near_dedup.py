@@ -177,4 +177,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     row = docs.select(F.struct(*columns).alias("_row"), "doc_id")
     mine = row.join(kept, row["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
     # Rows with the same id are one document.
-    return mine.groupBy("doc_id").agg(F.max_by("_row", "_row.text").alias("_row")).select("_row.*")
+    return mine.groupBy("doc_id").agg(F.max_by("_row", F.coalesce("_row.text", F.lit(""))).alias("_row")).select("_row.*")

@@ -31,11 +31,11 @@ MAX_WINDOWS = 30_000
 PREDICT_AT = 0.7
 
 WINDOW = 12  # words
-ORDINARY_BYTES, TOXIC_BYTES = 16_384, 1_024
+ORDINARY_BYTES, TOXIC_BYTES = 16_384, 2_048
 SEGMENT = 16  # bytes of the pieces that a dictionary is made of
 # A word is typical of toxic text if its windows' classes are so unlikely by chance
 # (log likelihood ratio), and so many such words are used at most.
-MIN_RATIO, MAX_WORDS = 25.0, 2_000
+MIN_RATIO, MAX_WORDS = 12.0, 500
 STATS = ("largest", "total", "mean", "excess", "high")
 # Fixed value: the three repeat offsets that end the tables of a zstandard dictionary.
 TABLES_END = bytes([1, 0, 0, 0, 4, 0, 0, 0, 8, 0, 0, 0])
