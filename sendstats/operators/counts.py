@@ -10,7 +10,7 @@ events is spread over its users.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,25 +24,6 @@ def event_counts(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     return events.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("occurrence"))
 
 
-def uniques(events: DataFrame, keys: Sequence[str], unique_keys: Sequence[str]) -> DataFrame:
-    """Per-day uniques by ``keys`` and label.
-
-    A plain two-level group: ``count(distinct a, b)`` would skip rows in which
-    one of the columns is NULL.
-    """
-    return event_counts(events.select(*keys, "label", *unique_keys).distinct(), keys)
-
-
-def pivot_counters(counts: DataFrame, keys: Sequence[str], counters: dict[str, str]) -> DataFrame:
-    """Label rows to one column per counter."""
-    return counts.groupBy(*keys).agg(*_sums(counters))
-
-
-def pivot_uniques(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    names = {label: f"Unique_{label}" for label in UNIQUE_LABELS}
-    return pivot_counters(counts, keys, names)
-
-
 def message_counters(
     events: DataFrame,
     keys: Sequence[str],
@@ -66,6 +47,20 @@ def _sums(counters: dict[str, str]) -> list[Column]:
     ]
 
 
+def of_messages(events: DataFrame, ids: DataFrame, count: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``count`` makes of the events of the (app, message) pairs in ``ids``.
+
+    A short id list filters the events, so foreign messages are never shuffled.
+    A long one filters the finished counts, which gives the same rows because
+    ``count`` groups by both id columns; events are never shuffled by message id,
+    whatever share of them one message holds.
+    """
+    pair = ["app_id", "message_id"]
+    if few_rows(ids):
+        return count(events.join(F.broadcast(ids), pair, "left_semi"))
+    return count(events).join(ids, pair, "left_semi")
+
+
 def counters_of_messages(
     events: DataFrame,
     ids: DataFrame,
@@ -73,15 +68,5 @@ def counters_of_messages(
     counters: dict[str, str],
     unique_keys: Sequence[str] = (),
 ) -> DataFrame:
-    """``message_counters`` of the (app, message) pairs in ``ids`` only.
-
-    A short id list filters the events, so foreign messages are never shuffled.
-    A long one filters the finished counters, which gives the same rows because
-    both id columns are among the keys; events are never shuffled by message id,
-    whatever share of them one message holds.
-    """
-    pair = ["app_id", "message_id"]
-    if few_rows(ids):
-        own = events.join(F.broadcast(ids), pair, "left_semi")
-        return message_counters(own, keys, counters, unique_keys)
-    return message_counters(events, keys, counters, unique_keys).join(ids, pair, "left_semi")
+    """``message_counters`` of the (app, message) pairs in ``ids`` only."""
+    return of_messages(events, ids, lambda own: message_counters(own, keys, counters, unique_keys))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sendstats.functions.mail import delivery_type
 
-# Patterns over the names of experiment variables.
+# Patterns over the names of experiment variables.
 SUBJECT_VAR = "Subject"
 SENDER_VAR = "Sender email"
 VARIANT_PREFIX = 12  # a message id starts at this character of a variable name
@@ -27,9 +27,14 @@ def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataF
 
 
 def latest(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The entity as it is now: its row in the newest snapshot that has it."""
+    """The entities as they are now: those of the newest snapshot, one row per key.
+
+    What is gone from that snapshot was deleted, whatever earlier ones say. Its day is a
+    scalar subquery, so that only its partition is read.
+    """
+    last = df.select("dt").agg(F.max("dt")).scalar()
     rest = [F.col(c).desc() for c in df.columns if c not in keys and c != "dt"]
-    return newest(df, keys, [F.col("dt").desc(), *rest])
+    return newest(df.where(F.col("dt") == last), keys, [F.col("dt"), *rest])
 
 
 def message_ids(study: DataFrame, channel: str) -> DataFrame:

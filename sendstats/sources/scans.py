@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from sendstats.sources.schemas import FLAT_KEYS, SESSIONS, SNAPSHOTS
 
 MODELS = tuple(SNAPSHOTS)
+# The longest window of a report and the oldest start, in days.
 MAX_WINDOW_DAYS = 32
 MAX_AGE_DAYS = 60
 

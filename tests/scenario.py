@@ -6,6 +6,7 @@ import datetime as dt
 
 from sendstats.sources.schemas import SESSIONS, SNAPSHOTS
 
+DELETED = 4500000000000777
 DAY1, DAY2, AFTER = dt.date(2024, 3, 1), dt.date(2024, 3, 3), dt.date(2024, 3, 9)
 START, END = "20240301", "20240303"
 MAIL, MAIL_B, LATE, SILENT, UNDELIVERED, MOVED = (4500000000000000 + n for n in range(1, 7))
@@ -43,7 +44,7 @@ def sessions():
         session(3, 1, DAY1, [event(SILENT, "Open", t1)], "c@qq.com"),
         session(3, 1, DAY1, [event(UNDELIVERED, "", t1)], "c@qq.com"),
         session(3, 1, DAY1, [event(MOVED, "", t1), event(MOVED, "Delivered", t1)], "c@qq.com"),
-        session(3, 1, DAY1, [event(LATE, "", t1)], "c@qq.com"),
+        session(3, 1, DAY1, [event(LATE, "", t1), event(DELETED, "", t1)], "c@qq.com"),
         session(3, 1, DAY1, [(".mxxxxxxxxxxxxxxxx Open", t1), event(4500000000000999, "", t1)], "c@qq.com"),
         # Another app's message in this app's sessions is not counted.
         session(3, 1, DAY1, [event(OTHER_APP, "", t1)], "c@qq.com"),
@@ -56,12 +57,18 @@ def sessions():
     ]
 
 
+def carried(rows):
+    """Adds what the last snapshot lacks: it lists all there is, changed or not."""
+    newest = {r[0]: r for r in rows}
+    return rows + [(*r[:-1], AFTER) for r in newest.values() if r[-1] != AFTER]
+
+
 def studies():
     def row(message, name, kind, day, app=1, changed=DAY1, since=DAY1, category=None, delivery=0):
         return ((message,), (app,), name, kind, delivery, moment(changed), since and moment(since), category, day)
 
     mail, push = "__Email", "__Push Notification"
-    return [
+    kept = [
         row(MAIL, "Hello", mail, DAY1, category=2, delivery=3),
         row(MAIL, "Hello, \"again\"", mail, DAY2, changed=DAY2, category=2, delivery=4),
         row(MAIL, "Hello live", mail, AFTER, changed=AFTER, category=1),
@@ -73,6 +80,8 @@ def studies():
         row(PUSH_B, "never sent", push, DAY1),
         row(OTHER_APP, "other", mail, DAY1, app=2),
     ]
+    # One message was deleted, and is none of the reports' any more.
+    return carried(kept) + [row(DELETED, "gone", mail, DAY1)]
 
 
 def experiments():
@@ -103,6 +112,7 @@ def apps():
         row(1, 50, "Shop/EU", DAY2, "d1@shop.example"),
         row(1, 50, "Shop live", AFTER, "new@shop.example"),
         row(2, 51, "Games", DAY2, "d2@games.example"),
+        row(2, 51, "Games", AFTER, "d2@games.example"),
         row(3, 50, "Gone before the last day", DAY1, "d3@x.example"),
     ]
 

@@ -38,7 +38,9 @@ def snapshots(df: DataFrame, first: str) -> DataFrame:
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").selectExpr("p_partkey AS k", "p_name", "p_size")
-    return snapshots(part, "CASE WHEN p_size % 25 = 13 THEN 3 ELSE 0 END")
+    known = snapshots(part, "CASE WHEN p_size % 25 = 13 THEN 3 ELSE 0 END")
+    # Some are deleted before the last snapshot.
+    return known.where("NOT (s = 3 AND p_size % 25 = 4)")
 
 
 def raw_study(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,15 +7,29 @@ explode path nor the one-pass counting with the Spark plans.
 
 from __future__ import annotations
 
-from sendstats.functions.events import EMAIL_COUNTERS, PUSH_COUNTERS
-from sendstats.functions.mail import DELIVERY_TYPES, LISTED_DOMAINS
-from sendstats.functions.rates import EMAIL_RATES, PUSH_RATES
-from sendstats.plans.messages import DEFAULT_LINK_BASE
-
 WINDOW = "BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'"
 LAST_DAY = "DATE '2024-01-30'"
-DOMAINS = ", ".join(f"'{d}'" for d in LISTED_DOMAINS)
-TYPE_CASE = " ".join(f"WHEN {code} THEN '{name}'" for code, name in DELIVERY_TYPES.items())
+
+# What the reports have to show. They stand here a second time, so that a
+# wrong one in the code under test is found.
+LINK_BASE = "https://dashboard.example.com/dashboard"
+DOMAINS = """'gmail.com', 'msn.com', 'hotmail.com', 'yahoo.com', 'aol.com', '163.com', 'etlgr.com',
+    'hotmail.co.th', 'icloud.com', 'live.com', 'me.com', 'naver.com', 'outlook.com', 'qq.com',
+    'rocketmail.com', 'yahoo.co.id', 'yahoo.co.uk', 'yahoo.com.my', 'yahoo.com.ph', 'yahoo.com.sg',
+    'yahoo.com.vn', 'ymail.com'"""
+TYPE_CASE = """WHEN 0 THEN 'Immediate' WHEN 1 THEN 'Future' WHEN 2 THEN 'Manual'
+    WHEN 3 THEN 'Triggered Local' WHEN 4 THEN 'Triggered Server' WHEN 5 THEN 'Recurring'"""
+EMAIL_COUNTERS = {
+    "Sent": "Sent", "Delivered": "Delivered", "Open": "Open", "Click": "Click", "Bounce": "Bounce",
+    "Dropped": "Dropped", "Block": "Block", "Unsubscribe": "Unsubscribe", "Marked as spam": "Spam",
+}
+PUSH_COUNTERS = {"Sent": "Sent", "Bounce": "Bounce", "Held Back": "Held_Back", "Open": "Open"}
+EMAIL_RATES = {
+    "Delivered_PCT": ("Delivered", "Sent"), "Open_PCT": ("Open", "Delivered"),
+    "Unique_Open_PCT": ("Unique_Open", "Delivered"), "Unique_Click_PCT": ("Unique_Click", "Delivered"),
+    "Bounce_PCT": ("Bounce", "Sent"), "Spam_PCT": ("Spam", "Delivered"),
+}
+PUSH_RATES = {"Open_PCT": ("Open", "Sent"), "Bounce_PCT": ("Bounce", "Sent")}
 
 BASE = f"""
 snap(s, dt) AS (
@@ -35,11 +49,9 @@ study AS (
     CASE WHEN p_partkey % 3 <> 0
          THEN (p_partkey + CASE WHEN p_partkey % 7 = 0 AND s = 3 THEN 1 ELSE 0 END) % 4 END AS category_id,
     dt
-  FROM part, snap WHERE s >= CASE WHEN p_size % 25 = 13 THEN 3 ELSE 0 END
-),
-live_study AS (
-  SELECT * FROM study QUALIFY row_number() OVER (PARTITION BY message_id ORDER BY dt DESC) = 1
+  FROM part, snap WHERE s >= CASE WHEN p_size % 25 = 13 THEN 3 ELSE 0 END AND NOT (s = 3 AND p_size % 25 = 4)
 ),
+live_study AS (SELECT * FROM study WHERE dt = (SELECT max(dt) FROM study)),
 email_ids AS (SELECT app_id, message_id FROM live_study WHERE action_type = '__Email'),
 push_ids AS (SELECT app_id, message_id FROM live_study WHERE action_type = '__Push Notification'),
 arm AS (
@@ -47,7 +59,7 @@ arm AS (
     9000000000 + 2 * p_partkey + b AS variant_id, b, s, dt
   FROM part, snap, (VALUES (0), (1)) AS arms(b)
   WHERE p_partkey % 5 < 3 AND (b = 0 OR p_partkey % 4 = 0)
-    AND s >= CASE WHEN p_size % 25 = 13 THEN 3 ELSE 0 END
+    AND s >= CASE WHEN p_size % 25 = 13 THEN 3 ELSE 0 END AND NOT (s = 3 AND p_size % 25 = 4)
 ),
 vars AS (
   SELECT variant_id, message_id, dt, 'Subject' AS var_name,
@@ -99,9 +111,7 @@ app AS (
     dt
   FROM supplier, snap WHERE s >= CASE WHEN s_suppkey % 25 = 22 THEN 3 ELSE 0 END
 ),
-live_app AS (
-  SELECT * FROM app QUALIFY row_number() OVER (PARTITION BY app_id ORDER BY dt DESC) = 1
-),
+live_app AS (SELECT * FROM app WHERE dt = (SELECT max(dt) FROM app)),
 categories AS (
   SELECT app_id, category_id, category FROM live_app,
     (VALUES (1, 'News'), (2, 'Promo')) AS names(category_id, category)
@@ -226,7 +236,7 @@ def display(column: str) -> str:
 
 
 def link(app: str = "app_id", message: str = "message_id") -> str:
-    return f"'{DEFAULT_LINK_BASE}?appId=' || {app} || '#/' || {app} || '/messaging/' || {message}"
+    return f"'{LINK_BASE}?appId=' || {app} || '#/' || {app} || '/messaging/' || {message}"
 
 
 LIVE = """live AS (

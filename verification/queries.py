@@ -20,13 +20,7 @@ from sendstats.functions.events import (
 )
 from sendstats.functions.mail import EMAIL, PUSH, delivery_type, message_link, sender_domain
 from sendstats.functions.rates import EMAIL_RATES, with_display, with_rates
-from sendstats.operators.counts import (
-    counters_of_messages,
-    event_counts,
-    pivot_counters,
-    pivot_uniques,
-    uniques,
-)
+from sendstats.operators.counts import counters_of_messages, event_counts, of_messages
 from sendstats.operators.dims import (
     SENDER_VAR,
     SUBJECT_VAR,
@@ -298,12 +292,11 @@ def push_ids(inputs):
     return message_ids(inputs.live_study, PUSH)
 
 
-# Counts: totals and uniques apart, as two passes
+# Counts
 
 
 def own_counts(events, ids, keys):
-    """Counts first, then the small id join: both id columns are among the keys."""
-    return event_counts(events, keys).join(ids, MESSAGE, "left_semi")
+    return of_messages(events, ids, lambda own: event_counts(own, keys))
 
 
 def join_email_events(inputs):
@@ -332,25 +325,25 @@ def agg_domain_events(inputs):
 
 
 def pivot_domain(inputs):
-    return pivot_counters(agg_domain_events(inputs), KEYS, EMAIL_COUNTERS)
+    return counters_of_messages(email_domain_events(inputs), email_ids(inputs), KEYS, EMAIL_COUNTERS)
 
 
 def pivot_subject(inputs):
-    return pivot_counters(join_email_events(inputs), MESSAGE, EMAIL_COUNTERS)
+    return counters_of_messages(all_events(inputs), email_ids(inputs), MESSAGE, EMAIL_COUNTERS)
 
 
 def pivot_push(inputs):
-    return pivot_counters(join_push_events(inputs), MESSAGE, PUSH_COUNTERS)
+    return counters_of_messages(all_events(inputs), push_ids(inputs), MESSAGE, PUSH_COUNTERS)
 
 
 def uniq_domain(inputs):
-    counts = uniques(email_domain_events(inputs), KEYS, DOMAIN_UNIQUE)
-    return pivot_uniques(counts, KEYS).join(email_ids(inputs), MESSAGE, "left_semi")
+    events = email_domain_events(inputs)
+    counters = counters_of_messages(events, email_ids(inputs), KEYS, EMAIL_COUNTERS, DOMAIN_UNIQUE)
+    return counters.select(*KEYS, "Unique_Open", "Unique_Click")
 
 
 def uniq_subject(inputs):
-    counts = uniques(all_events(inputs, "user_id"), MESSAGE, UNIQUE_KEYS)
-    return pivot_uniques(counts, MESSAGE).join(email_ids(inputs), MESSAGE, "left_semi")
+    return subject_counters(inputs).select(*MESSAGE, "Unique_Open", "Unique_Click")
 
 
 def variants_only(inputs):
