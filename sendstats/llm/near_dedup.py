@@ -24,20 +24,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sendstats.llm.common import materialize, once, shingle_hashes, words_of
-from sendstats.llm.probminhash import bands, fingerprints, signatures, weighted
+from sendstats.llm.common import SHINGLE, materialize, once, shingle_hashes, words_of
+from sendstats.llm.probminhash import bands, fingerprints, shingles, signatures, weighted
 
 MIN_SIMILARITY = 0.8
 # 24 bands of 4 slots: a pair at 0.8 shares none with a probability of 3e-6.
 BANDS, ROWS = 24, 4
-# Shingles that are worked on together: bounds the memory of a task.
+# Words that are worked on together: bounds the memory of a task.
 CHUNK = 400_000
 CLASS = ["_f1", "_f2"]
 
 
-def _shingled(docs: DataFrame) -> DataFrame:
+def _hashed(docs: DataFrame) -> DataFrame:
     words = once(docs, "_words", words_of(F.col("text")))
-    return words.select("doc_id", shingle_hashes("_words").alias("h"))
+    return words.select("doc_id", F.transform("_words", lambda w: F.xxhash64(w)).alias("h"))
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,7 +51,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = lists.slice(at, upto - at)
             lengths = np.diff(np.concatenate(([begun], ends[at:upto])))
             n = upto - at
-            sets, elements, weights = weighted(np.repeat(np.arange(n), lengths), part.flatten().to_numpy())
+            sets, elements, weights = weighted(*shingles(part.flatten().to_numpy(), lengths, SHINGLE))
             marks = fingerprints(n, sets, elements, weights).view(np.int64)
             signed = bands(signatures(n, sets, elements, weights, BANDS * ROWS), ROWS).view(np.int64)
             # Texts without words have no band; they all make one class.
@@ -65,15 +65,12 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = upto
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose shingle sets are similar enough."""
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("tb"))
+    left = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
-    for x in "ab":
-        both = once(both, f"w{x}", words_of(F.col(f"t{x}")))
-        both = once(both, f"s{x}", F.array_distinct(shingle_hashes(f"w{x}")))
-    common = once(both.select("a", "b", "sa", "sb"), "n", F.size(F.array_intersect("sa", "sb")))
+    common = once(both, "n", F.size(F.array_intersect("sa", "sb")))
     return common.where(F.col("n") >= MIN_SIMILARITY * (F.size("sa") + F.size("sb") - F.col("n"))).select("a", "b")
 
 
@@ -116,7 +113,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     no rows, and other columns are not carried.
     """
     signed = materialize(
-        _shingled(docs.select("doc_id", "text")).mapInArrow(
+        _hashed(docs.select("doc_id", "text")).mapInArrow(
             _sign, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _f1 bigint, _f2 bigint, bands array<bigint>"
         ), "signed",
     )
@@ -136,18 +133,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
     pairs = materialize(pairs, "pairs")
     wanted = members.select("node").distinct()
-    # Of each class that is in a group, the text of the document it is named after.
+    # Of each class that is in a group, the shingles of the document it is named after: every
+    # round below compares them, so they are made once.
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi")
-    texts = materialize(texts.groupBy("node").agg(F.max("text").alias("text")), "texts")
+    named = once(texts.groupBy("node").agg(F.max("text").alias("text")), "_words", words_of(F.col("text")))
+    sets = materialize(named.select("node", F.array_distinct(shingle_hashes("_words")).alias("s")), "sets")
     at = materialize(members.select("node").distinct().withColumn("label", F.col("node")), "labels")
     # First each class and the member it shares the most bands with, in either direction.
     likely = pairs.groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-    at, _ = components(at, _links(likely, texts))
-    at, _ = components(at, _links(_apart(pairs.select("a", "b"), at), texts))
+    at, _ = components(at, _links(likely, sets))
+    at, _ = components(at, _links(_apart(pairs.select("a", "b"), at), sets))
     turn, more = 0, True
     while more:
         turn += 1
-        at, more = components(at, _links(_recentred(members.where("double"), at, turn), texts))
+        at, more = components(at, _links(_recentred(members.where("double"), at, turn), sets))
     named = classes.select(*CLASS, "node").join(at, "node", "left").select(*CLASS, F.coalesce("label", "node").alias("class_id"))
     return signed.select("doc_id", *CLASS).join(named, CLASS).select("doc_id", "class_id")
 

@@ -24,9 +24,32 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def shingles(words: np.ndarray, lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(set, element) of all runs of ``size`` words, from the word hashes of texts one after another.
+
+    A text with fewer words has one run, of all its words; one without words has none.
+    """
+    counts = np.where(lengths >= size, lengths - size + 1, np.minimum(lengths, 1))
+    sets = np.repeat(np.arange(len(lengths)), counts)
+    ends = np.cumsum(lengths)
+    starts = np.arange(len(sets)) + np.repeat(ends - lengths - (np.cumsum(counts) - counts), counts)
+    words, last = words.view(np.uint64), ends[sets] - 1
+    out = np.zeros(len(sets), dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            at = starts + k
+            # What is missing of a short run counts as zero.
+            word = np.where(at <= last, words[np.minimum(at, last)], np.uint64(0))
+            out = mixed((out + GOLDEN) ^ word)
+    return sets, out
+
+
 def weighted(sets: np.ndarray, elements: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct (set, element) pairs in order, and their weights: 1 + ln of the count."""
-    order = np.lexsort((elements, sets))
+    # Equal pairs can stand for each other; small set numbers are sorted by their digits.
+    order = np.argsort(elements)
+    numbers = sets.astype(np.min_scalar_type(sets.max())) if len(sets) else sets
+    order = order[np.argsort(numbers[order], kind="stable")]
     sets, elements = sets[order], elements[order]
     first = np.ones(len(sets), dtype=bool)
     first[1:] = (sets[1:] != sets[:-1]) | (elements[1:] != elements[:-1])
@@ -50,15 +73,12 @@ def signatures(n_sets: int, sets: np.ndarray, elements: np.ndarray, weights: np.
         uniform = ((draw >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
         time = time - np.log(uniform) / weights
         slot = sets * slots + (place % np.uint64(slots)).astype(np.int64)
-        # Of the arrivals that are the first so far, the earliest of each slot stays.
+        # Of the arrivals that are the first so far, the earliest of each slot stays. Elements
+        # are in order, so that a tie ends alike in all sets.
         early = np.flatnonzero(time < arrival[slot])
-        order = early[np.lexsort((seed[early], time[early], slot[early]))]
-        if len(order):
-            lead = np.ones(len(order), dtype=bool)
-            lead[1:] = slot[order][1:] != slot[order][:-1]
-            best = order[lead]
-            arrival[slot[best]] = time[best]
-            winner[slot[best]] = seed[best]
+        np.minimum.at(arrival, slot[early], time[early])
+        best = early[time[early] == arrival[slot[early]]]
+        winner[slot[best]] = seed[best]
         active = time < arrival.reshape(n_sets, slots).max(axis=1)[sets]
         sets, seed, time, weights = sets[active], seed[active], time[active], weights[active]
     return winner.reshape(n_sets, slots)
