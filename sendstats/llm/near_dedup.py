@@ -7,11 +7,13 @@
    by the Jaccard similarity of the shingle sets, and linked classes joined.
 4. Groups of double bands that still hold classes apart get another centre, for as long
    as that joins any.
+5. All members of groups that are still split are joined exactly, over labels only: two
+   sets at 0.8 have one of their rarest shingles in common, see ``_remaining``. No pair of
+   candidates is left out.
 
-Centres differ from band to band. Two texts that are similar share ten of the 24 bands on
-average, and four of the 24 double ones; they are joined by any group whose centre is one
-of them or is similar to both. Groups are small where slots come from text that only they
-share, and where many texts have a passage in common, the double bands tell them apart.
+Steps 3 and 4 only save work for the last one. Centres differ from band to band. Two texts
+that are similar share ten of the 24 bands on average, and four of the 24 double ones; they
+are joined by any group whose centre is one of them or is similar to both.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ MIN_SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 # Words that are worked on together: bounds the memory of a task.
 CHUNK = 400_000
+# Sets with a rare shingle in common that are compared in one task.
+BLOCK = 1_000
 CLASS = ["_f1", "_f2"]
 
 
@@ -147,6 +151,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     while more:
         turn += 1
         at, more = components(at, _links(_recentred(members.where("double"), at, turn), sets))
+    at, _ = components(at, _links(_remaining(members, at, sets), sets))
     named = classes.select(*CLASS, "node").join(at, "node", "left").select(*CLASS, F.coalesce("label", "node").alias("class_id"))
     return signed.select("doc_id", *CLASS).join(named, CLASS).select("doc_id", "class_id")
 
@@ -169,6 +174,36 @@ def _recentred(members: DataFrame, at: DataFrame, turn: int) -> DataFrame:
     ).distinct()
 
 
+def _remaining(members: DataFrame, at: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of members of split groups, with different labels, that can be similar enough.
+
+    Shingles are put in one order: those of a single label first, then by the number of
+    sets. Sets of n shingles at 0.8 have 0.8 n in common at least, so that one of the first
+    n - 0.8 n + 1 of each is in both. The first one in common stands at i and j; from there
+    on they share min(n - i, m - j) + 1 at most, and 4/9 of n + m are needed.
+    """
+    labelled = members.join(at, "node").select("key", "node", "label")
+    across = [F.min("label").alias("x"), F.max("label").alias("y")]
+    split = labelled.groupBy("key").agg(*across).where("x <> y").select("key")
+    still = materialize(labelled.join(split, "key", "left_semi").select("node", "label").distinct(), "open")
+    each = still.join(sets, "node").select("node", "label", F.size("s").alias("n"), F.explode("s").alias("e"))
+    shared = each.groupBy("e").agg(F.count(F.lit(1)).alias("df"), *across).where("x <> y").select("e", "df")
+    listed = each.join(shared, "e").groupBy("node", "label", "n").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("l"))
+    # The shingles of a single label, n - size(l), come before those of the list.
+    listed = listed.withColumn("own", F.expr("n - size(l)")).withColumn("upto", F.expr("n - (4 * n + 4) div 5 + 1 - own"))
+    first = listed.where("upto > 0").select("node", "label", "n", "own", F.posexplode(F.expr("slice(l, 1, int(upto))")).alias("p", "x"))
+    # What may still be in common from this shingle on.
+    first = materialize(first.select("node", "label", "n", F.col("x.e").alias("e"), F.expr("n - own - p").alias("rest")), "first")
+    blocks = first.groupBy("e").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"), *across).where("x <> y").select("e", "k")
+    dealt = first.join(blocks, "e").withColumn("mine", F.pmod(F.xxhash64("node"), "k"))
+    others = F.explode(F.expr("sequence(0L, k - 1)"))
+    left = dealt.select("e", F.col("mine").alias("i"), others.alias("j"), F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("rest").alias("ra"))
+    right = dealt.select("e", others.alias("i"), F.col("mine").alias("j"), F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("rest").alias("rb"))
+    on = (left["e"] == right["e"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
+    near = F.expr("la < lb AND 9 * least(ra, rb) >= 4 * (na + nb)")
+    return left.join(right, on & near).select("a", "b").distinct()
+
+
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of each class of ``near_duplicates``, that of its smallest id, with the columns of ``docs``."""
     kept = near_duplicates(docs).groupBy("class_id").agg(F.min("doc_id").alias("_kept")).select("_kept")

@@ -184,6 +184,13 @@ def test_near_duplicates_against_brute_force(spark, tables):
     assert sorted(r.doc_id for r in kept) == sorted(set(expected.values()))
 
 
+def test_near_duplicates_in_large_groups(spark):
+    # All have a passage in common, just too short for a link; only pairs are at 0.8.
+    rows = [(i, f"{words(92)} p{i // 2} {words(11, 1_000 + 100 * i)}") for i in range(120)]
+    found = near_duplicates(docs_of(spark, rows)).collect()
+    assert {r.doc_id: r.class_id for r in found} == {i: i // 2 * 2 for i in range(120)}
+
+
 def test_mix_meets_its_targets(spark):
     rows = [(i, words(1 + i % 40), None, f"s{i % 5}" if i % 6 else None) for i in range(400)] + [(900, words(3), None, "tiny"), (901, None, None, "empty")]
     docs = docs_of(spark, rows)
