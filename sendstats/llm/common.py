@@ -34,6 +34,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tagged(docs: DataFrame) -> DataFrame:
+    """(_row, _id) of every row of ``docs``: all its columns, and a number of its own that stays."""
+    return materialize(docs.select(F.struct(*docs.columns).alias("_row")).withColumn("_id", F.monotonically_increasing_id()), "rows")
+
+
 def once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a costly column in such a way that it is worked out once per row.
 

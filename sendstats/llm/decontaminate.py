@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sendstats.llm.common import SHINGLE, once, shingle_hashes, words_of
+from sendstats.llm.common import SHINGLE, once, shingle_hashes, tagged, words_of
 
 MIN_SIMILARITY = 0.8
 RADIUS = 3
@@ -142,6 +142,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all their columns."""
-    bad = leaks(docs, benchmark).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """The rows of ``docs`` that hold no benchmark item, with all their columns.
+
+    Each row goes by its own text: rows without id, or with the same id as a leak, stay.
+    """
+    rows = tagged(docs)
+    bad = leaks(rows.select(F.col("_id").alias("doc_id"), F.col("_row.text").alias("text")), benchmark)
+    return rows.join(bad.select(F.col("doc_id").alias("_id")), "_id", "left_anti").select("_row.*")

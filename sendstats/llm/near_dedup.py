@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sendstats.llm.common import SHINGLE, materialize, once, shingle_hashes, words_of
+from sendstats.llm.common import SHINGLE, materialize, once, shingle_hashes, tagged, words_of
 from sendstats.llm.probminhash import bands, fingerprints, shingles, signatures, weighted
 
 MIN_SIMILARITY = 0.8
@@ -41,12 +41,12 @@ CLASS = ["_f1", "_f2"]
 
 def _hashed(docs: DataFrame) -> DataFrame:
     words = once(docs, "_words", words_of(F.col("text")))
-    return words.select("doc_id", F.transform("_words", lambda w: F.xxhash64(w)).alias("h"))
+    return words.select("_id", "doc_id", F.transform("_words", lambda w: F.xxhash64(w)).alias("h"))
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, lists = batch.column(0), batch.column(1)
+        rows, ids, lists = batch.column(0), batch.column(1), batch.column(2)
         ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
         while at < len(ids):
@@ -62,9 +62,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             offsets = np.concatenate(([0], np.cumsum(np.where(lengths > 0, 2 * BANDS, 0)))).astype(np.int32)
             values = signed[lengths > 0].reshape(-1)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(at, n), pa.array(marks[:, 0]), pa.array(marks[:, 1]),
+                [rows.slice(at, n), ids.slice(at, n), pa.array(marks[:, 0]), pa.array(marks[:, 1]),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                names=["doc_id", *CLASS, "bands"],
+                names=["_id", "doc_id", *CLASS, "bands"],
             )
             at = upto
 
@@ -111,18 +111,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Documents are linked when at least 0.8 of their five-word shingles are the same
     (Jaccard similarity of the sets); the class is all that is linked, through others as
     well, and ``class_id`` its smallest id. Texts under five words have one shingle, all
-    their words. NULL and empty texts are alike and make one class. Repeated rows stay, each
-    with its class; rows with equal ids count as one document. Documents without id join
-    exact copies only; a class of such only has a hash as its id. An empty table gives
-    no rows, and other columns are not carried.
+    their words. NULL and empty texts are alike and make one class. Every row counts by its
+    own text, also rows without id or with an id that others have. A class without any id
+    has a hash as its ``class_id``, and so has one whose smallest id another class has too;
+    of those, one keeps the id. An empty table gives no rows, and other columns are not carried.
     """
+    return _classified(tagged(docs.select("doc_id", "text"))).select("doc_id", "class_id")
+
+
+def _classified(rows: DataFrame) -> DataFrame:
+    """(_id, doc_id, class_id) of every row of ``rows``, see ``tagged``."""
+    rows = rows.select("_id", F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"))
     signed = materialize(
-        _hashed(docs.select("doc_id", "text")).mapInArrow(
-            _sign, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, _f1 bigint, _f2 bigint, bands array<bigint>"
+        _hashed(rows).mapInArrow(
+            _sign, f"_id bigint, doc_id {rows.schema['doc_id'].dataType.simpleString()}, _f1 bigint, _f2 bigint, bands array<bigint>"
         ), "signed",
     )
     classes = signed.groupBy(*CLASS).agg(
-        F.coalesce(F.min("doc_id").cast("long"), F.first("_f1")).alias("node"), F.first("bands").alias("bands")
+        F.min("_id").alias("node"), F.min("doc_id").cast("long").alias("low"), F.first("bands").alias("bands")
     )
     classes = materialize(classes, "classes")
     keyed = classes.select("node", F.posexplode("bands").alias("place", "key"))
@@ -137,10 +143,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
     pairs = materialize(pairs, "pairs")
     wanted = members.select("node").distinct()
-    # Of each class that is in a group, the shingles of the document it is named after: every
-    # round below compares them, so they are made once.
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(wanted, "node", "left_semi")
-    named = once(texts.groupBy("node").agg(F.max("text").alias("text")), "_words", words_of(F.col("text")))
+    # Of each class that is in a group, the shingles of one row: every round below compares
+    # them, so they are made once.
+    texts = rows.select(F.col("_id").alias("node"), "text").join(wanted, "node", "left_semi")
+    named = once(texts, "_words", words_of(F.col("text")))
     sets = materialize(named.select("node", F.array_distinct(shingle_hashes("_words")).alias("s")), "sets")
     at = materialize(members.select("node").distinct().withColumn("label", F.col("node")), "labels")
     # First each class and the member it shares the most bands with, in either direction.
@@ -152,8 +158,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         turn += 1
         at, more = components(at, _links(_recentred(members.where("double"), at, turn), sets))
     at, _ = components(at, _links(_remaining(members, at, sets), sets))
-    named = classes.select(*CLASS, "node").join(at, "node", "left").select(*CLASS, F.coalesce("label", "node").alias("class_id"))
-    return signed.select("doc_id", *CLASS).join(named, CLASS).select("doc_id", "class_id")
+    labelled = classes.select(*CLASS, "node", "low").join(at, "node", "left").select(*CLASS, "low", F.coalesce("label", "node").alias("label"))
+    labelled = materialize(labelled, "labelled")
+    labels = labelled.groupBy("label").agg(F.min("low").alias("low"), F.min("_f1").alias("hash"))
+    # Ids that are the smallest of several classes.
+    twice = labels.where("low IS NOT NULL").groupBy("low").agg(F.min("hash").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    class_id = F.when(F.col("low").isNull() | (F.col("hash") > F.col("first")), F.col("hash")).otherwise(F.col("low"))
+    ids = labels.join(twice, "low", "left").select("label", class_id.alias("class_id"))
+    return signed.select("_id", "doc_id", *CLASS).join(labelled.join(ids, "label"), CLASS).select("_id", "doc_id", "class_id")
 
 
 def _apart(pairs: DataFrame, at: DataFrame) -> DataFrame:
@@ -206,9 +218,8 @@ def _remaining(members: DataFrame, at: DataFrame, sets: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """One row of each class of ``near_duplicates``, that of its smallest id, with the columns of ``docs``."""
-    kept = near_duplicates(docs).groupBy("class_id").agg(F.min("doc_id").alias("_kept")).select("_kept")
-    columns = docs.columns
-    row = docs.select(F.struct(*columns).alias("_row"), "doc_id")
-    mine = row.join(kept, row["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
-    # Rows with the same id are one document.
-    return mine.groupBy("doc_id").agg(F.max_by("_row", F.coalesce("_row.text", F.lit(""))).alias("_row")).select("_row.*")
+    rows = tagged(docs)
+    # Rows without id come last; of rows with the same id one stays.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_id"))
+    kept = _classified(rows).groupBy("class_id").agg(first.alias("k")).select(F.col("k._id").alias("_id"))
+    return rows.join(kept, "_id", "left_semi").select("_row.*")

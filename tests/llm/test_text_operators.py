@@ -191,6 +191,21 @@ def test_near_duplicates_in_large_groups(spark):
     assert {r.doc_id: r.class_id for r in found} == {i: i // 2 * 2 for i in range(120)}
 
 
+def test_rows_without_id_or_with_the_same_id(spark):
+    rows = [(None, words(60)), (None, words(60, 1_000)), (None, words(60, 1_000) + " x"), (7, words(60, 2_000)), (7, words(60, 3_000)), (8, words(60, 3_000) + " x"), (7, words(60, 4_000)), (9, words(60) + " y")]
+    docs = docs_of(spark, rows)
+    found = near_duplicates(docs).collect()
+    assert len(found) == len(rows) and len({r.class_id for r in found}) == 5
+    ids = defaultdict(list)
+    for r in found:
+        ids[r.class_id].append(r.doc_id)
+    assert sorted(ids.values(), key=str) == sorted([[None, 9], [None, None], [7], [7, 8], [7]], key=str) and {7, 9} < set(ids)
+    assert sorted((r.doc_id or 0, r.text.split()[0]) for r in deduplicated(docs).collect()) == [(0, "w1000"), (7, "w2000"), (7, "w3000"), (7, "w4000"), (9, "w0")]
+    bench = spark.createDataFrame([(1, words(60)), (2, words(60, 2_000))], "item_id bigint, text string")
+    clean = without_leaks(docs, bench)
+    assert clean.columns == docs.columns and sorted((r.doc_id or 0, r.text) for r in clean.collect()) == sorted((i or 0, t) for i, t in [rows[1], rows[2], rows[4], rows[5], rows[6]])
+
+
 def test_mix_meets_its_targets(spark):
     rows = [(i, words(1 + i % 40), None, f"s{i % 5}" if i % 6 else None) for i in range(400)] + [(900, words(3), None, "tiny"), (901, None, None, "empty")]
     docs = docs_of(spark, rows)
