@@ -1,6 +1,6 @@
 """Near-duplicate documents by ProbMinHash, banding and exact verification.
 
-1. Texts with the same weighted shingles make one class, whatever its size.
+1. Texts with the same set of shingles make one class, whatever its size.
 2. Class signatures are cut to bands; classes that share a band are candidates.
 3. In each band group, every class is compared with one member, the group's centre, so
    that a group of any size gives no more pairs than it has members. Links are verified
@@ -55,7 +55,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = lists.slice(at, upto - at)
             lengths = np.diff(np.concatenate(([begun], ends[at:upto])))
             n = upto - at
-            sets, elements, weights = weighted(*shingles(part.flatten().to_numpy(), lengths, SHINGLE))
+            sets, elements, _ = weighted(*shingles(part.flatten().to_numpy(), lengths, SHINGLE))
+            # Links are defined on the sets, so each shingle weighs the same however often it occurs.
+            weights = np.ones(len(sets))
             marks = fingerprints(n, sets, elements, weights).view(np.int64)
             signed = bands(signatures(n, sets, elements, weights, BANDS * ROWS), ROWS).view(np.int64)
             # Texts without words have no band; they all make one class.
