@@ -22,7 +22,7 @@ BLOCKS = frozenset(
     "summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = ("script", "style", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video", "textarea", "title")
+RAW = ("script", "style", "noscript", "template", "iframe", "svg", "object", "canvas", "audio", "video", "textarea", "title")
 ASIDE = frozenset("head nav footer aside form button select menu dialog fieldset".split())
 CONTENT = frozenset("article main".split())
 
@@ -34,25 +34,69 @@ MARKS = frozenset(
     "sponsor sponsored subscribe subscription toolbar widget contentinfo complementary search alert "
     "copyright".split()
 )
+# Words that may stand beside them in a name ("ad-box", "comment-list") without changing what it names.
+BESIDE = frozenset(
+    "area bar block box btn button buttons container content form group icon icons inner item items left link links list main "
+    "outer page panel posts right section site slot thread top unit wrap wrapper bottom".split()
+)
+# In an article these name parts of it as well.
+OWN = frozenset("header banner masthead alert notice notices disclaimer".split())
+# Ids are made from the text of headings; only these, as a whole, tell what is not the article.
+IDS = frozenset("comment comments disqus disqus_thread respond sidebar navbar breadcrumb breadcrumbs masthead adbox adslot".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
 WINDOW = 3  # lines that are summed
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
 _RAW_END = {name: re.compile(rf"</{name}\b[^>]*>", re.I) for name in RAW}
-_NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
+_FORM_END = re.compile(r"</form\b[^>]*>", re.I)
+_HOLDS = re.compile(r"<(?:article|main|h1)\b", re.I)
+_BODY_BEGINS = re.compile(r"<body\b[^>]*>\s*\Z", re.I)
+_BODY_ENDS = re.compile(r"\s*(?:<script\b.*?</script\s*>\s*)*(?:</body|</html|\Z)", re.I | re.S)
 _PARTS = re.compile(r"[a-z]+|[A-Z][a-z]*|[A-Z]+")
 
 
+def _words(value: str) -> list[str]:
+    return [w.lower() for w in _PARTS.findall(value)]
+
+
+def _marked(token: str) -> bool:
+    """Whether a whole class name, such as "ad-box", names what is not the article."""
+    words = set(_words(token))
+    return words <= MARKS | BESIDE and not words.isdisjoint(MARKS - OWN)
+
+
 def _unwanted(name: str, attributes: str, in_content: bool) -> bool:
     """Whether an element is none of the article; a header or title inside the article belongs to it."""
     if name in ASIDE or name == "header" and not in_content:
         return True
     if not attributes or name in CONTENT or name in ("html", "body"):
         return False
-    if _HIDDEN.search(attributes):
+    # The first of repeated attributes holds.
+    found: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(attributes):
+        found.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+    if "hidden" in found or found.get("aria-hidden", "").strip().lower() == "true" or _NOT_SHOWN.search(found.get("style", "")):
+        return True
+    identity = found.get("id", "").strip()
+    if name not in HEADINGS and (identity.lower() in IDS or not in_content and _marked(identity)):
+        return True
+    classes, roles = found.get("class", ""), found.get("role", "").lower().split()
+    if not MARKS.isdisjoint(roles):
+        return True
+    if in_content:
+        return any(_marked(token) for token in classes.split())
+    return not MARKS.isdisjoint(_words(classes))
+
+
+def _around(page: str, start: int, at: int) -> bool:
+    """Whether the form with the tag at ``start`` to ``at`` stands round the article or the whole body."""
+    close = _FORM_END.search(page, at)
+    inner, after = (close.start(), close.end()) if close else (len(page), len(page))
+    if _HOLDS.search(page, at, inner):
         return True
-    words = {w.lower() for m in _NAMED.finditer(attributes) for w in _PARTS.findall(m[1] or m[2] or m[3] or "")}
-    return not MARKS.isdisjoint(words)
+    return bool(_BODY_BEGINS.search(page[max(0, start - 2_000) : start]) and _BODY_ENDS.match(page, after))
 
 
 def lines_of(page: str) -> list[tuple[str, bool, bool]]:
@@ -92,6 +136,8 @@ def lines_of(page: str) -> list[tuple[str, bool, bool]]:
                 at = close.end() if close else end
                 continue
             unwanted = _unwanted(name, tag[3], state[1])
+            if name == "form" and not state[1] and _around(page, tag.start(), at):
+                unwanted = False
             if name in BLOCKS or unwanted:
                 flush()
             if name not in VOID and not tag[3].endswith("/"):

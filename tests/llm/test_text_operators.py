@@ -250,6 +250,25 @@ def test_main_text(spark):
     assert found[0].n_chars == len(main_text(PAGE)) and tuple(found[1]) == (None, None, "", 0)
 
 
+def test_main_text_keeps_what_only_sounds_like_an_aside():
+    kept = [
+        '<h2 id="search-methods">a</h2>', '<section id="related-work"><h2 id="search">a</h2></section>', '<section id="social-security">a</section>',
+        '<p data-id="comments" data-role="banner">a</p>', '<p title="a hidden gem">a</p>', '<div class="social-history">a</div>', '<div class="notice">a</div>',
+        "<p><math><mi>a</mi></math></p>", '<p><a href="?id=reply" title="hidden">a</a></p>', '<p data-style="display:none" class="unhidden">a</p>',
+    ]
+    dropped = [
+        '<div class="ad-box">a</div>', '<div class="x comments">a</div>', '<div class="sidebar">a</div>', '<section id="comments">a</section>', "<p hidden>a</p>",
+        "<p aria-hidden='true'>a</p>", '<p style="color:red;display: none">a</p>', "<p role=search>a</p>", "<form>a</form>", "<div class=commentList>a</div>",
+    ]
+    page = "<body>{}</body>"
+    for inner, text in [(x, "b\n\na") for x in kept] + [(x, "b") for x in dropped]:
+        assert main_text(page.format(f"<article><p>b</p>{inner}</article>")) == text, inner
+    plain = f"<h2 id='search-methods'>Search methods</h2><p>{'long text ' * 30}</p>"
+    assert main_text(page.format(plain)).startswith("Search methods")
+    assert main_text(page.format(f"<form id=form1>{plain}</form>")) == main_text(page.format(plain))
+    assert main_text(page.format("<div><form><article><p>b</p></article></form></div>")) == "b"
+
+
 def test_language_of_odd_pages(spark, tables):
     rows = [(1, "https://x.example.org/de/1", "<html lang=de>" + "<p>der die das und nicht</p>" * 5), (2, None, None), (None, "no url", "")]
     pages = tables["pages"].select("page_id", "url", "html").union(spark.createDataFrame(rows, "page_id bigint, url string, html string"))
