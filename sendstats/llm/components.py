@@ -37,3 +37,20 @@ def component_labels(links: DataFrame) -> DataFrame:
 def _mark(edges: DataFrame) -> tuple:
     """Two sets of edges with equal marks are the same."""
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(1)))).first())
+
+
+def labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
+    """Add the label of a node; one without links is its own."""
+    own = labels.select(F.col("node").alias(node), F.col("label").alias(name))
+    return df.join(own, node, "left").withColumn(name, F.coalesce(name, node))
+
+
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components."""
+    both = labelled(labelled(pairs, labels, "a", "la"), labels, "b", "lb")
+    return both.where("la <> lb").select(*pairs.columns)
+
+
+def stars(labels: DataFrame) -> DataFrame:
+    """Links (a, b) that hold the components together: as many as nodes, less one each."""
+    return labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))

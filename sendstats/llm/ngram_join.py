@@ -28,8 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sendstats.llm.common import materialize, once, words_of
-from sendstats.llm.components import component_labels
+from sendstats.llm.components import apart, component_labels, labelled, stars
 from sendstats.llm.probminhash import fingerprints, shingles, weighted
+from sendstats.operators.sizing import few_rows
 
 SHINGLE = 3
 # Links: PERCENT * union <= 100 * intersection. Prefixes of n // 10 + 1 shingles go with 90.
@@ -150,7 +151,9 @@ def _open(classes: DataFrame, signed: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """(node, n, s) of the classes ``wanted``, from the text of one row each."""
     key = ["who", "t1", "t2"]
-    found = _keyed(docs).join(wanted.select(*key, "node"), key).groupBy(*key).agg(F.first("node").alias("node"), F.first("text").alias("text"))
+    ids = wanted.select(*key, "node")
+    # Four numbers a class: a list of checked length is broadcast, a longer one joined by a shuffle of the texts.
+    found = _keyed(docs).join(F.broadcast(ids) if few_rows(ids) else ids, key).groupBy(*key).agg(F.first("node").alias("node"), F.first("text").alias("text"))
     return _word_hashes(found, "node").mapInArrow(_whole, "node bigint, n bigint, s array<bigint>")
 
 
@@ -189,23 +192,12 @@ def _to_centres(first: DataFrame) -> DataFrame:
     return materialize(_pairs(near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "pairs")
 
 
-def _labelled(df: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
-    """Add the label of a node; one without links is its own."""
-    own = labels.select(F.col("node").alias(node), F.col("label").alias(name))
-    return df.join(own, node, "left").withColumn(name, F.coalesce(name, node))
-
-
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    both = _labelled(_labelled(pairs, labels, "a", "la"), labels, "b", "lb")
-    return both.where("la <> lb").select(*pairs.columns)
-
-
 def _across(first: DataFrame, labels: DataFrame) -> DataFrame:
     """All pairs of sets of different labels that have a prefix shingle in common and pass the filters.
 
     A group of many sets is dealt to blocks, and each pair of blocks to a key of its own.
     """
-    rows = _labelled(first, labels, "node", "label")
+    rows = labelled(first, labels, "node", "label")
     groups = rows.groupBy("e").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"), F.min("label").alias("x"), F.max("label").alias("y")
     ).where("x <> y").select("e", "k")
@@ -236,14 +228,10 @@ def joined_classes(sets: DataFrame) -> DataFrame:
     best = pairs.groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
     links = materialize(_links(best, sets), "links")
     labels = component_labels(links)
-    more = materialize(_apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), labels), "pairs")
-    labels = component_labels(_stars(labels).unionByName(_links(more, sets)))
+    more = materialize(apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), labels), "pairs")
+    labels = component_labels(stars(labels).unionByName(_links(more, sets)))
     rest = _across(first, labels).join(best.unionByName(more), ["a", "b"], "left_anti")
-    return component_labels(_stars(labels).unionByName(_links(rest, sets)))
-
-
-def _stars(labels: DataFrame) -> DataFrame:
-    return labels.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    return component_labels(stars(labels).unionByName(_links(rest, sets)))
 
 
 def ngram_join(docs: DataFrame) -> DataFrame:
