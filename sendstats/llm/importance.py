@@ -15,7 +15,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Callable, Iterator
-from itertools import batched
+from itertools import chain, islice
 from zlib import crc32
 
 import numpy as np
@@ -33,25 +33,29 @@ SEED = "42:"
 PROBES = 15
 # In UTF-8: digits, a to z, and all bytes of characters beyond ASCII. Lower-casing bytes changes A-Z only.
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
-# Words that are hashed together: bounds the memory that a very long text takes.
-CHUNK = 200_000
+GAP = re.compile(rb"[^0-9a-z\x80-\xff]")
+# Bytes whose words are hashed together: bounds the memory that a very long text takes.
+CHUNK = 1 << 20
 FEATURES = 3
 LAST_ID = (1 << 63) - 1
 
 
 def hashed_features(text: bytes, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     """(words, buckets of the runs of one to three words that end in them), some words at a time."""
-    before: list[bytes] = []
-    for some in batched((m.group() for m in WORD.finditer(text.lower())), CHUNK):
-        words = before + list(some)
-        spaced = [b" " + w for w in words]
+    text, at, before = text.lower(), 0, []
+    while at < len(text):
+        gap = GAP.search(text, min(at + CHUNK, len(text)))
+        end = gap.start() if gap else len(text)
+        some = WORD.findall(text, at, end)
+        at = max(end, at + 1)
+        words, n = before + some, len(before)
+        spaced = [b" " + w for w in words[1:]]
         one = list(map(crc32, words))
-        two = list(map(crc32, spaced[1:], one))
-        three = list(map(crc32, spaced[2:], two))
+        two = list(map(crc32, spaced, one))
+        three = map(crc32, spaced[1:], two)
         # Runs that end within the words before were counted with them.
-        n = len(before)
-        runs = one[n:] + two[max(n - 1, 0):] + three[max(n - 2, 0):]
-        yield len(some), np.array(runs, dtype=np.int64) % buckets
+        runs = chain(one[n:], two[max(n - 1, 0):], islice(three, max(n - 2, 0), None))
+        yield len(some), np.fromiter(runs, dtype=np.int64) % buckets
         before = words[1 - FEATURES:]
 
 

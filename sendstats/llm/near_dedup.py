@@ -1,19 +1,16 @@
 """Near-duplicate documents by ProbMinHash, banding and exact verification.
 
 1. Texts with the same set of shingles make one class, whatever its size.
-2. Class signatures are cut to bands; classes that share a band are candidates.
-3. In each band group, every class is compared with one member, the group's centre, so
-   that a group of any size gives no more pairs than it has members. Links are verified
-   by the Jaccard similarity of the shingle sets, and linked classes joined.
-4. Groups of double bands that still hold classes apart get another centre, for as long
-   as that joins any.
-5. All members of groups that are still split are joined exactly, over labels only: two
-   sets at 0.8 have one of their rarest shingles in common, see ``_remaining``. No pair of
-   candidates is left out.
-
-Steps 3 and 4 only save work for the last one. Centres differ from band to band. Two texts
-that are similar share ten of the 24 bands on average, and four of the 24 double ones; they
-are joined by any group whose centre is one of them or is similar to both.
+2. A class is signed by ProbMinHash, in which a shingle weighs 1 to 1.5 by its length, the
+   same in all documents. Links are defined on the plain sets; for sets at 0.8 the probability
+   Jaccard of these weights is 0.727 at least, so that such a pair shares one of the bands
+   below with a probability of 0.995, and 0.9999 if the weights are even.
+3. Signatures are cut to bands; classes that share a band, with sizes in the proportion of
+   0.8 at least, are candidates. Each is compared with its group's centre first, with the one
+   it shares most bands with before all others, and linked classes are joined.
+4. Then every pair of candidates that are still in different components is verified, once.
+   Pairs within a component change nothing, so that groups of many near copies are not
+   compared pair by pair. A group of many classes is dealt to blocks.
 """
 
 from __future__ import annotations
@@ -26,202 +23,215 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sendstats.llm.common import SHINGLE, materialize, once, shingle_hashes, tagged, words_of
+from sendstats.llm.common import SHINGLE, materialize, once, words_of
+from sendstats.llm.components import apart, component_labels, labelled, stars
 from sendstats.llm.probminhash import bands, fingerprints, shingles, signatures, weighted
+from sendstats.operators.sizing import few_rows
 
-MIN_SIMILARITY = 0.8
-# 24 bands of 4 slots: a pair at 0.8 shares none with a probability of 3e-6.
-BANDS, ROWS = 24, 4
+PERCENT = 80
+BANDS, ROWS = 24, 5
+# The lowest bits of a word's hash and of a shingle hold the characters, up to this number.
+LENGTH = 63
 # Words that are worked on together: bounds the memory of a task.
 CHUNK = 400_000
-# Sets with a rare shingle in common that are compared in one task.
+# Classes with a band in common that are compared in one task.
 BLOCK = 1_000
 CLASS = ["_f1", "_f2"]
+# Finds a row again: hashes of its id and, twice, of its text.
+ROW = ["_who", "_t1", "_t2"]
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
-    words = once(docs, "_words", words_of(F.col("text")))
-    return words.select("_id", "doc_id", F.transform("_words", lambda w: F.xxhash64(w)).alias("h"))
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumns({"_who": F.xxhash64("doc_id"), "_t1": F.xxhash64("text"), "_t2": F.hash("text")})
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hashed(rows: DataFrame, *carried: str) -> DataFrame:
+    words = once(rows, "_words", words_of(F.col("text")))
+    h = F.expr(f"transform(_words, w -> (xxhash64(w) & {-LENGTH - 1}L) | least(length(w), {LENGTH}))")
+    return words.select(*carried, h.alias("h"))
+
+
+def _sized(words: np.ndarray, lengths: np.ndarray, sets: np.ndarray, elements: np.ndarray) -> np.ndarray:
+    """The shingles ``elements`` with the characters of their words in the lowest bits."""
+    counts = np.bincount(sets, minlength=len(lengths))
+    ends = np.cumsum(lengths)
+    starts = np.arange(len(sets)) + np.repeat(ends - lengths - (np.cumsum(counts) - counts), counts)
+    upto = np.concatenate(([0], np.cumsum(words & LENGTH)))
+    chars = upto[np.minimum(starts + SHINGLE, ends[sets])] - upto[starts]
+    return (elements & ~np.uint64(LENGTH)) | np.minimum(chars, LENGTH).astype(np.uint64)
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """(rows, number of rows, sets, distinct shingles) for pieces of about ``CHUNK`` words; the last column has the word hashes."""
     for batch in batches:
-        rows, ids, lists = batch.column(0), batch.column(1), batch.column(2)
+        lists = batch.column(batch.num_columns - 1)
         ends = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
         at = 0
-        while at < len(ids):
+        while at < len(ends):
             begun = ends[at - 1] if at else 0
             upto = max(at + 1, int(np.searchsorted(ends, begun + CHUNK, side="right")))
-            part = lists.slice(at, upto - at)
             lengths = np.diff(np.concatenate(([begun], ends[at:upto])))
-            n = upto - at
-            sets, elements, _ = weighted(*shingles(part.flatten().to_numpy(), lengths, SHINGLE))
-            # Links are defined on the sets, so each shingle weighs the same however often it occurs.
-            weights = np.ones(len(sets))
-            marks = fingerprints(n, sets, elements, weights).view(np.int64)
-            signed = bands(signatures(n, sets, elements, weights, BANDS * ROWS), ROWS).view(np.int64)
-            # Texts without words have no band; they all make one class.
-            offsets = np.concatenate(([0], np.cumsum(np.where(lengths > 0, 2 * BANDS, 0)))).astype(np.int32)
-            values = signed[lengths > 0].reshape(-1)
-            yield pa.RecordBatch.from_arrays(
-                [rows.slice(at, n), ids.slice(at, n), pa.array(marks[:, 0]), pa.array(marks[:, 1]),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))],
-                names=["_id", "doc_id", *CLASS, "bands"],
-            )
+            words = lists.slice(at, upto - at).flatten().to_numpy()
+            sets, elements = shingles(words, lengths, SHINGLE)
+            sets, elements, _ = weighted(sets, _sized(words, lengths, sets, elements))
+            yield batch.slice(at, upto - at), upto - at, sets, elements
             at = upto
 
 
+def _lists(counts: np.ndarray, values: np.ndarray) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum(counts))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
+
+
+def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, n, sets, elements in _pieces(batches):
+        counts = np.bincount(sets, minlength=n)
+        weights = 1.0 + (elements & np.uint64(LENGTH)).astype(np.float64) / (2 * LENGTH)
+        marks = fingerprints(n, sets, elements, weights).view(np.int64)
+        signed = bands(signatures(n, sets, elements, weights, BANDS * ROWS), ROWS)[:, :BANDS]
+        # Texts without words have no band; they all make one class.
+        some = counts > 0
+        yield pa.RecordBatch.from_arrays(
+            [*rows.columns[:-1], pa.array(counts), pa.array(marks[:, 0]), pa.array(marks[:, 1]),
+             _lists(np.where(some, BANDS, 0), np.ascontiguousarray(signed[some]).reshape(-1))],
+            names=[*rows.schema.names[:-1], "n", *CLASS, "bands"],
+        )
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows, n, sets, elements in _pieces(batches):
+        counts = np.bincount(sets, minlength=n)
+        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(counts), _lists(counts, elements)], names=["node", "n", "s"])
+
+
+def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, n, s) of the classes ``wanted``, from the text of one row each."""
+    ids = wanted.select(*ROW, "node")
+    # Four numbers a class: a list of checked length is broadcast, a longer one joined by a shuffle of the texts.
+    found = _keyed(docs).join(F.broadcast(ids) if few_rows(ids) else ids, ROW)
+    found = found.groupBy(*ROW).agg(F.first("node").alias("node"), F.first("text").alias("text"))
+    return _hashed(found, "node").mapInArrow(_whole, "node bigint, n bigint, s array<bigint>")
+
+
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose shingle sets are similar enough."""
-    left = sets.select(F.col("node").alias("a"), F.col("s").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("s").alias("sb"))
-    both = pairs.join(left, "a").join(right, "b")
-    common = once(both, "n", F.size(F.array_intersect("sa", "sb")))
-    return common.where(F.col("n") >= MIN_SIMILARITY * (F.size("sa") + F.size("sb") - F.col("n"))).select("a", "b")
+    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
+    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
+    both = once(pairs.join(left, "a").join(right, "b"), "common", F.size(F.array_intersect("sa", "sb")))
+    return both.where(f"100 * common >= {PERCENT} * (na + nb - common)").select("a", "b")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> tuple[DataFrame, bool]:
-    """(node, label) with the smallest node of each connected component as label.
+def _near(n, m):
+    return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
-    ``nodes``: node, label so far; ``links``: a, b. Each round a component takes the
-    smallest label next to it; labels are followed to their own labels. It ends when
-    nothing changes. The second result tells whether anything did.
-    """
-    edges = materialize(links.union(links.select("b", "a")).toDF("a", "b"), "edges")
-    at = nodes
-    while True:
-        label = at.select(F.col("node").alias("a"), F.col("label").alias("la"))
-        other = at.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        # What each label could become: the smallest label that a member has a link to.
-        met = edges.join(label, "a").join(other, "b").where("lb < la").groupBy("la").agg(F.min("lb").alias("to"))
-        moves = materialize(met, "moves")
-        if moves.isEmpty():
-            return at, at is not nodes
-        # Follow chains of moves to their ends, doubling the step; labels only get smaller.
-        while True:
-            onward = moves.select(F.col("la").alias("to"), F.col("to").alias("next"))
-            further = materialize(moves.join(onward, "to", "left").select("la", F.coalesce("next", "to").alias("to"), F.col("next").isNotNull().alias("moved")), "moves")
-            if further.where("moved").isEmpty():
-                break
-            moves = further.drop("moved")
-        at = materialize(at.join(moves.withColumnRenamed("la", "label"), "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
 
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """(doc_id, class_id) of every row of ``docs`` (doc_id, text).
 
-    Documents are linked when at least 0.8 of their five-word shingles are the same
-    (Jaccard similarity of the sets); the class is all that is linked, through others as
-    well, and ``class_id`` its smallest id. Texts under five words have one shingle, all
-    their words. NULL and empty texts are alike and make one class. Every row counts by its
-    own text, also rows without id or with an id that others have. A class without any id
-    has a hash as its ``class_id``, and so has one whose smallest id another class has too;
-    of those, one keeps the id. An empty table gives no rows, and other columns are not carried.
+def _to_centres(members: DataFrame) -> DataFrame:
+    """(a, b, n): pairs of a class and a centre of a group that it is in, and the bands they share so.
+
+    Each group's centre is another member, so that a class in many groups meets many.
     """
-    return _classified(tagged(docs.select("doc_id", "text"))).select("doc_id", "class_id")
+    centre = F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node", "n")).alias("c")
+    groups = members.groupBy("key").agg(centre).select("key", F.col("c.node").alias("other"), F.col("c.n").alias("m"))
+    near = members.join(groups, "key").where((F.col("node") != F.col("other")) & _near(F.col("n"), F.col("m")))
+    return materialize(_pairs(near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "pairs")
+
+
+def _across(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """All candidates of different labels; each pair of blocks of a large group has a key of its own."""
+    rows = labelled(members, labels, "node", "label")
+    groups = rows.groupBy("key").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"), F.min("label").alias("x"), F.max("label").alias("y")
+    ).where("x <> y").select("key", "k")
+    rows = materialize(rows.join(groups, "key"), "split")
+    dealt = rows.withColumn("mine", F.pmod(F.xxhash64("node"), "k"))
+    every = F.explode(F.expr("sequence(0L, k - 1)"))
+    left = dealt.select("key", F.col("mine").alias("i"), every.alias("j"), "node", "label", "n")
+    right = dealt.select(
+        "key", every.alias("i"), F.col("mine").alias("j"), F.col("node").alias("other"), F.col("label").alias("its"), F.col("n").alias("m")
+    )
+    on = (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
+    return _pairs(left.join(right, on & (F.col("label") < F.col("its")) & _near(F.col("n"), F.col("m")))).distinct()
+
 
+def _joined(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(node, label) of the classes that are linked with any."""
+    pairs = _to_centres(members)
+    best = pairs.groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
+    labels = component_labels(materialize(_links(best, sets), "links"))
+    more = materialize(apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), labels), "pairs")
+    labels = component_labels(stars(labels).unionByName(_links(more, sets)))
+    rest = _across(members, labels).join(best.unionByName(more), ["a", "b"], "left_anti")
+    return component_labels(stars(labels).unionByName(_links(rest, sets)))
 
-def _classified(rows: DataFrame) -> DataFrame:
-    """(_id, doc_id, class_id) of every row of ``rows``, see ``tagged``."""
-    rows = rows.select("_id", F.col("_row.doc_id").alias("doc_id"), F.col("_row.text").alias("text"))
+
+def _classified(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` with their class by equal sets, and of each class its id and the row that stays of it."""
+    docs = docs.select("doc_id", "text")
+    kind = docs.schema["doc_id"].dataType.simpleString()
     signed = materialize(
-        _hashed(rows).mapInArrow(
-            _sign, f"_id bigint, doc_id {rows.schema['doc_id'].dataType.simpleString()}, _f1 bigint, _f2 bigint, bands array<bigint>"
+        _hashed(_keyed(docs), "doc_id", *ROW).mapInArrow(
+            _sign, f"doc_id {kind}, _who bigint, _t1 bigint, _t2 int, n bigint, _f1 bigint, _f2 bigint, bands array<bigint>"
         ), "signed",
     )
-    classes = signed.groupBy(*CLASS).agg(
-        F.min("_id").alias("node"), F.min("doc_id").cast("long").alias("low"), F.first("bands").alias("bands")
-    )
-    classes = materialize(classes, "classes")
-    keyed = classes.select("node", F.posexplode("bands").alias("place", "key"))
-    keyed = keyed.select("node", "key", (F.col("place") >= BANDS).alias("double"))
-    # Each group's centre is another member, so that a large group has many.
-    groups = keyed.groupBy("key").agg(
-        F.min(F.struct(F.xxhash64("node", "key").alias("h"), "node")).alias("c"), F.count(F.lit(1)).alias("n")
-    ).where("n > 1").select("key", F.col("c.node").alias("centre"))
-    members = materialize(keyed.join(groups, "key"), "members")
-    pairs = members.where("node <> centre").select(
-        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
-    ).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
-    pairs = materialize(pairs, "pairs")
-    wanted = members.select("node").distinct()
-    # Of each class that is in a group, the shingles of one row: every round below compares
-    # them, so they are made once.
-    texts = rows.select(F.col("_id").alias("node"), "text").join(wanted, "node", "left_semi")
-    named = once(texts, "_words", words_of(F.col("text")))
-    sets = materialize(named.select("node", F.array_distinct(shingle_hashes("_words")).alias("s")), "sets")
-    at = materialize(members.select("node").distinct().withColumn("label", F.col("node")), "labels")
-    # First each class and the member it shares the most bands with, in either direction.
-    likely = pairs.groupBy("b").agg(F.max(F.struct("n", "a")).alias("m")).select(F.col("m.a").alias("a"), "b")
-    at, _ = components(at, _links(likely, sets))
-    at, _ = components(at, _links(_apart(pairs.select("a", "b"), at), sets))
-    turn, more = 0, True
-    while more:
-        turn += 1
-        at, more = components(at, _links(_recentred(members.where("double"), at, turn), sets))
-    at, _ = components(at, _links(_remaining(members, at, sets), sets))
-    labelled = classes.select(*CLASS, "node", "low").join(at, "node", "left").select(*CLASS, "low", F.coalesce("label", "node").alias("label"))
-    labelled = materialize(labelled, "labelled")
-    labels = labelled.groupBy("label").agg(F.min("low").alias("low"), F.min("_f1").alias("hash"))
+    # Rows without id come last.
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *ROW)).alias("one")
+    classes = signed.groupBy(*CLASS).agg(one, F.first("n").alias("n"), F.first("bands").alias("bands"))
+    classes = materialize(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    keyed = classes.select("node", "n", F.explode("bands").alias("key"))
+    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("key")
+    members = materialize(keyed.join(shared, "key", "left_semi"), "members")
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "one.*")
+    sets = materialize(_sets(docs, wanted), "sets")
+    at = labelled(classes.select(*CLASS, "node", "one"), _joined(members, sets), "node", "label")
+    at = materialize(at, "labelled")
+    labels = at.groupBy("label").agg(F.min("one").alias("one"), F.min("_f1").alias("hash"))
+    labels = labels.withColumn("low", F.col("one.doc_id").cast("bigint"))
     # Ids that are the smallest of several classes.
-    twice = labels.where("low IS NOT NULL").groupBy("low").agg(F.min("hash").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    twice = labels.where("low IS NOT NULL").groupBy("low").agg(F.min("hash").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
     class_id = F.when(F.col("low").isNull() | (F.col("hash") > F.col("first")), F.col("hash")).otherwise(F.col("low"))
-    ids = labels.join(twice, "low", "left").select("label", class_id.alias("class_id"))
-    return signed.select("_id", "doc_id", *CLASS).join(labelled.join(ids, "label"), CLASS).select("_id", "doc_id", "class_id")
-
-
-def _apart(pairs: DataFrame, at: DataFrame) -> DataFrame:
-    """The pairs whose classes are not joined yet."""
-    la = at.select(F.col("node").alias("a"), F.col("label").alias("la"))
-    lb = at.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-    return pairs.join(la, "a").join(lb, "b").where("la <> lb").select("a", "b")
-
-
-def _recentred(members: DataFrame, at: DataFrame, turn: int) -> DataFrame:
-    """Pairs of a member and another centre of its group, where the two are not joined yet."""
-    labelled = members.join(at, "node").select("key", "node", "label")
-    centre = F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)).alias("h"), "node", "label"))
-    groups = labelled.groupBy("key").agg(centre.alias("c"), F.min("label").alias("x"), F.max("label").alias("y"))
-    groups = groups.where("x <> y").select("key", F.col("c.node").alias("centre"), F.col("c.label").alias("its"))
-    return labelled.join(groups, "key").where("label <> its").select(
-        F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")
-    ).distinct()
+    ids = labels.join(twice, "low", "left").select("label", class_id.alias("class_id"), *[F.col(f"one.{c}").alias(f"{c}_kept") for c in ROW])
+    return signed, at.select(*CLASS, "label").join(ids, "label").drop("label")
 
 
-def _remaining(members: DataFrame, at: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs of members of split groups, with different labels, that can be similar enough.
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """(doc_id, class_id) of every row of ``docs`` (doc_id whole numbers, text).
 
-    Shingles are put in one order: those of a single label first, then by the number of
-    sets. Sets of n shingles at 0.8 have 0.8 n in common at least, so that one of the first
-    n - 0.8 n + 1 of each is in both. The first one in common stands at i and j; from there
-    on they share min(n - i, m - j) + 1 at most, and 4/9 of n + m are needed.
+    Documents are linked when at least 0.8 of their five-word shingles are the same
+    (Jaccard similarity of the sets); the class is all that is linked, through others as
+    well, and ``class_id`` its smallest id. Texts under five words have one shingle, all
+    their words. NULL and empty texts are alike and make one class. Every row counts by its
+    own text, also rows without id or with an id that others have. A class without any id
+    has a hash as its ``class_id``, and so has one whose smallest id another class has too;
+    of those, one keeps the id. Very long texts are signed one at a time, repeated rows each have
+    a result, an empty table gives none, and other columns are not carried.
     """
-    labelled = members.join(at, "node").select("key", "node", "label")
-    across = [F.min("label").alias("x"), F.max("label").alias("y")]
-    split = labelled.groupBy("key").agg(*across).where("x <> y").select("key")
-    still = materialize(labelled.join(split, "key", "left_semi").select("node", "label").distinct(), "open")
-    each = still.join(sets, "node").select("node", "label", F.size("s").alias("n"), F.explode("s").alias("e"))
-    shared = each.groupBy("e").agg(F.count(F.lit(1)).alias("df"), *across).where("x <> y").select("e", "df")
-    listed = each.join(shared, "e").groupBy("node", "label", "n").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("l"))
-    # The shingles of a single label, n - size(l), come before those of the list.
-    listed = listed.withColumn("own", F.expr("n - size(l)")).withColumn("upto", F.expr("n - (4 * n + 4) div 5 + 1 - own"))
-    first = listed.where("upto > 0").select("node", "label", "n", "own", F.posexplode(F.expr("slice(l, 1, int(upto))")).alias("p", "x"))
-    # What may still be in common from this shingle on.
-    first = materialize(first.select("node", "label", "n", F.col("x.e").alias("e"), F.expr("n - own - p").alias("rest")), "first")
-    blocks = first.groupBy("e").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"), *across).where("x <> y").select("e", "k")
-    dealt = first.join(blocks, "e").withColumn("mine", F.pmod(F.xxhash64("node"), "k"))
-    others = F.explode(F.expr("sequence(0L, k - 1)"))
-    left = dealt.select("e", F.col("mine").alias("i"), others.alias("j"), F.col("node").alias("a"), F.col("label").alias("la"), F.col("n").alias("na"), F.col("rest").alias("ra"))
-    right = dealt.select("e", others.alias("i"), F.col("mine").alias("j"), F.col("node").alias("b"), F.col("label").alias("lb"), F.col("n").alias("nb"), F.col("rest").alias("rb"))
-    on = (left["e"] == right["e"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
-    near = F.expr("la < lb AND 9 * least(ra, rb) >= 4 * (na + nb)")
-    return left.join(right, on & near).select("a", "b").distinct()
+    signed, classes = _classified(docs)
+    # A class of very many copies is a hot key here, with one row on the other side.
+    return signed.select("doc_id", *CLASS).join(classes.select(*CLASS, "class_id"), CLASS).select("doc_id", "class_id")
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """One row of each class of ``near_duplicates``, that of its smallest id, with the columns of ``docs``."""
-    rows = tagged(docs)
-    # Rows without id come last; of rows with the same id one stays.
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_id"))
-    kept = _classified(rows).groupBy("class_id").agg(first.alias("k")).select(F.col("k._id").alias("_id"))
-    return rows.join(kept, "_id", "left_semi").select("_row.*")
+    """One row of each class of ``near_duplicates``, that of its smallest id, with the columns of ``docs``.
+
+    NULL texts, texts without words, rows without id and repeated ids count as they do there; of
+    rows with the same id and text one stays. An empty table gives no rows.
+    """
+    signed, classes = _classified(docs)
+    kept = classes.select(*[F.col(f"{c}_kept").alias(c) for c in ROW]).distinct()
+    counts = signed.groupBy(*ROW).agg(F.count(F.lit(1)).alias("_copies"))
+    marks = counts.join(kept.withColumn("_stays", F.lit(True)), ROW, "left").where("_copies > 1 OR _stays IS NULL")
+    marks = materialize(marks.select(*ROW, F.coalesce("_stays", F.lit(False)).alias("_stays")), "dropped")
+    # Rows apart from those listed stay: a list of checked length is broadcast.
+    few = F.broadcast if few_rows(marks) else lambda df: df
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
+    rows = _keyed(rows).select("_row", *ROW)
+    single = rows.join(few(marks), ROW, "left_anti").select("_row.*")
+    again = marks.where("_stays")
+    if again.isEmpty():
+        return single
+    repeated = rows.join(few(again), ROW, "left_semi").groupBy(*ROW).agg(F.first("_row").alias("_row"))
+    return single.unionByName(repeated.select("_row.*"))
