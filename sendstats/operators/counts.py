@@ -24,6 +24,23 @@ def event_counts(events: DataFrame, keys: Sequence[str]) -> DataFrame:
     return events.groupBy(*keys, "label").agg(F.count(F.lit(1)).alias("occurrence"))
 
 
+def collapsed(events: DataFrame, keys: Sequence[str], unique_keys: Sequence[str]) -> DataFrame:
+    """The first level: occurrences by ``keys``, label and, for the labels whose uniques are reported, ``unique_keys``."""
+    tracked = F.col("label").isin(*UNIQUE_LABELS)
+    marks = [F.when(tracked, F.col(k)).alias(k) for k in unique_keys]
+    return events.groupBy(*keys, "label", *marks).agg(F.count(F.lit(1)).alias("occurrence"))
+
+
+def counters_of_groups(
+    groups: DataFrame, keys: Sequence[str], counters: dict[str, str], unique_keys: Sequence[str] = ()
+) -> DataFrame:
+    """The second level: ``groups``, distinct in keys, label and unique keys, as totals and uniques by ``keys``."""
+    columns = _sums(counters)
+    if unique_keys:
+        columns += [F.expr(f"count_if(label = '{u}')").alias(f"Unique_{u}") for u in UNIQUE_LABELS]
+    return groups.groupBy(*keys).agg(*columns)
+
+
 def message_counters(
     events: DataFrame,
     keys: Sequence[str],
@@ -31,13 +48,7 @@ def message_counters(
     unique_keys: Sequence[str] = (),
 ) -> DataFrame:
     """Totals and, when ``unique_keys`` are given, per-day uniques in one pass."""
-    tracked = F.col("label").isin(*UNIQUE_LABELS)
-    marks = [F.when(tracked, F.col(k)).alias(f"_{k}") for k in unique_keys]
-    first = events.groupBy(*keys, "label", *marks).agg(F.count(F.lit(1)).alias("occurrence"))
-    columns = _sums(counters)
-    if unique_keys:
-        columns += [F.expr(f"count_if(label = '{u}')").alias(f"Unique_{u}") for u in UNIQUE_LABELS]
-    return first.groupBy(*keys).agg(*columns)
+    return counters_of_groups(collapsed(events, keys, unique_keys), keys, counters, unique_keys)
 
 
 def _sums(counters: dict[str, str]) -> list[Column]:

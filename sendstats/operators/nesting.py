@@ -41,17 +41,27 @@ def explode_variants(df: DataFrame) -> DataFrame:
     return df.select(*carried, F.explode_outer("experiments.variant").alias("variant_id"))
 
 
-def with_variants(df: DataFrame) -> DataFrame:
-    """Each row once with a NULL variant, plus once per variant of its session.
+def with_variant_set(df: DataFrame) -> DataFrame:
+    """Replace ``experiments`` by ``variants``, the variants of the session in order; repeated ones stay."""
+    found = F.coalesce(F.col("experiments.variant"), F.array().cast("array<bigint>"))
+    ordered = F.array_sort(F.filter(found, lambda v: v.isNotNull()))
+    return df.withColumn("variants", ordered).drop("experiments")
+
 
-    The NULL row stands for the event itself, so message totals and variant
+def spread_variant_sets(df: DataFrame) -> DataFrame:
+    """Each row once with a NULL variant, plus once per variant of its set.
+
+    The NULL row stands for the events themselves, so message totals and variant
     totals come out of one scan.
     """
-    carried = [c for c in df.columns if c != "experiments"]
+    carried = [c for c in df.columns if c != "variants"]
     none = F.array(F.lit(None).cast("bigint"))
-    variants = F.concat(none, F.coalesce(F.col("experiments.variant"), F.array().cast("array<bigint>")))
-    every = df.select(*carried, F.posexplode(variants).alias("place", "variant_id"))
-    return every.where((F.col("place") == 0) | F.col("variant_id").isNotNull()).drop("place")
+    return df.select(*carried, F.explode(F.concat(none, F.col("variants"))).alias("variant_id"))
+
+
+def with_variants(df: DataFrame) -> DataFrame:
+    """Each row once with a NULL variant, plus once per variant of its session."""
+    return spread_variant_sets(with_variant_set(df))
 
 
 def email_position(app: DataFrame) -> DataFrame:

@@ -64,8 +64,15 @@ def domain_report(
         events.where(F.col("label").isin(*EMAIL_COUNTERS)),
         scope.ids(live, EMAIL), KEYS, EMAIL_COUNTERS, ["user_id", "email", "day"],
     )
-    rows = with_all_rows(counters.where(F.col("Sent") > 0))
+    return report_of_counters(counters, inputs, start, end, scope, link_base)
+
 
+def report_of_counters(
+    counters: DataFrame, inputs: Inputs, start, end, scope: Scope, link_base=DEFAULT_LINK_BASE
+) -> DataFrame:
+    """The report's rows from the counters by app, message and domain, wherever they come from."""
+    window, live = inputs.window(start, end), inputs.live_study
+    rows = with_all_rows(counters.where(F.col("Sent") > 0))
     defined = rows.join(newest_definition(window.study), "message_id")
     current = with_live_message(defined, live, EMAIL)
     addressed = current.join(senders(window.experiment), "message_id", "left")

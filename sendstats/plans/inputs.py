@@ -105,6 +105,13 @@ class Scope:
         default = self.of_app(listed).drop("AppName")
         return live.select("app_id", F.col("name").alias("AppName")).join(default, "app_id", "left")
 
+    def covered(self) -> DataFrame | None:
+        """Ids of the apps of one app's or one company's report; None for a report on all."""
+        if self.app_id is not None:
+            spark = self.inputs.app.sparkSession
+            return spark.range(int(self.app_id), int(self.app_id) + 1).toDF("app_id")
+        return None if self.company_id is None else self.listing().select("app_id")
+
     def apps(self) -> DataFrame:
         """The listing with file-safe names and the current categories."""
         live = self.of_app(self.inputs.live_app).select("app_id", "unsubscribe_categories")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from sendstats.plans.domain import domain_report
-from sendstats.plans.inputs import read_inputs
+from sendstats.plans.inputs import Scope, read_inputs
 from sendstats.plans.messages import DEFAULT_LINK_BASE
 from sendstats.plans.push import push_report
 from sendstats.plans.subject import ab_report, subject_report
@@ -47,5 +47,6 @@ def run_report(
         scope = {}
     else:
         scope = {"company_id": int(report_id)}
-    report = plan(read_inputs(spark, root, columns), start, end, link_base=link_base, **scope)
-    write_report(report, layout, start, end, out)
+    inputs = read_inputs(spark, root, columns)
+    report = plan(inputs, start, end, link_base=link_base, **scope)
+    write_report(report, layout, start, end, out, Scope(inputs, end, **scope).covered())

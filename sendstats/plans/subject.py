@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from sendstats.functions.events import EMAIL_COUNTERS
 from sendstats.functions.mail import EMAIL, message_link, variant_subject
 from sendstats.functions.rates import EMAIL_RATES, with_rates
-from sendstats.operators.counts import counters_of_messages, message_counters
+from sendstats.operators.counts import collapsed, counters_of_groups, counters_of_messages
 from sendstats.operators.dims import (
     newest_subject,
     subject_lines,
     variant_messages,
     variant_subjects,
 )
-from sendstats.operators.nesting import message_events, with_variants
+from sendstats.operators.nesting import message_events, spread_variant_sets, with_variant_set
 from sendstats.operators.sizing import few_rows
 from sendstats.plans.inputs import Inputs, Scope
 from sendstats.plans.messages import DEFAULT_LINK_BASE, with_category, with_live_message
@@ -90,19 +90,26 @@ def variant_counters(events: DataFrame, ids: DataFrame, variants: DataFrame) ->
     """Counters per message (variant NULL) and per (message, variant), for the
     pairs in ``variants``, out of one pass over the events.
 
+    Sessions of a message have few different sets of variants. Events are collapsed by
+    set first, so that what is shuffled does not grow with the variants of a session; only
+    the collapsed groups are then spread over the variants of their set and brought
+    together again, as a user may have met one variant in several sets on a day.
+
     The wanted rows are one list, and as with plain messages a short one filters
     the events and a long one the finished counters.
     """
     keys = [*MESSAGE, "variant_id"]
     own = ids.withColumn("variant_id", F.lit(None).cast("bigint"))
     wanted = own.unionByName(ids.join(variants, "message_id"))
-    if few_rows(wanted):
-        kept = events.join(F.broadcast(ids), MESSAGE, "left_semi")
-        spread = _wanted(with_variants(kept), F.broadcast(wanted))
-        return message_counters(spread, keys, EMAIL_COUNTERS, UNIQUE_KEYS)
-    return _wanted(
-        message_counters(with_variants(events), keys, EMAIL_COUNTERS, UNIQUE_KEYS), wanted
-    )
+    short = few_rows(wanted)
+    kept = events.join(F.broadcast(ids), MESSAGE, "left_semi") if short else events
+    sets = collapsed(with_variant_set(kept), [*MESSAGE, "variants"], UNIQUE_KEYS)
+    spread = spread_variant_sets(sets)
+    if short:
+        spread = _wanted(spread, F.broadcast(wanted))
+    groups = spread.groupBy(*keys, "label", *UNIQUE_KEYS).agg(F.sum("occurrence").alias("occurrence"))
+    counters = counters_of_groups(groups, keys, EMAIL_COUNTERS, UNIQUE_KEYS)
+    return counters if short else _wanted(counters, wanted)
 
 
 def _wanted(df: DataFrame, wanted: DataFrame) -> DataFrame:

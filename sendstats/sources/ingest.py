@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 import warnings
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from sendstats.sources.committed import Day, commit, delete, exists, file_system, is_committed, stage, visible
 from sendstats.sources.scans import MODELS, as_day
 from sendstats.sources.schemas import SNAPSHOTS
 
@@ -42,7 +43,7 @@ def snapshot_pattern(model: str, day: dt.date) -> tuple[str, str]:
 def find_snapshot(spark: SparkSession, src: str, model: str, day: dt.date) -> str | None:
     """The day's file of a model, at any depth, only when exactly one matches."""
     prefix, part = snapshot_pattern(model, day)
-    fs = _file_system(spark, src)
+    fs = file_system(spark, src)
     glob = spark._jvm.org.apache.hadoop.fs.Path(f"{src}/{prefix}*")
     matching = []
     # A match is taken whole, be it a file or a folder of part files.
@@ -60,54 +61,91 @@ def find_snapshot(spark: SparkSession, src: str, model: str, day: dt.date) -> st
     return matching[0] if len(matching) == 1 else None
 
 
-def ingest_snapshots(
+@dataclass
+class Load:
+    """What became of the days of each model that had a file to load."""
+
+    loaded: dict[str, list[dt.date]] = field(default_factory=dict)
+    failed: dict[str, dict[dt.date, str]] = field(default_factory=dict)
+
+
+def load_snapshots(
     spark: SparkSession, src: str, dst: str, start, end, models: Sequence[str] = MODELS
-) -> dict[str, list[dt.date]]:
-    """Append the days that are missing under ``<dst>/<model>/dt=...``.
+) -> Load:
+    """Add the days that are missing in the tables ``<dst>/<model>``, see ``committed``.
 
-    Each model is one read and one write over all its new days; if that fails, its
-    days are loaded one by one, and those that cannot be are left out with a warning.
-    Returns the days loaded per model. Only file names pass through the driver.
+    Each model is one read, one write and one marker over all its new days. If that fails,
+    its days are loaded one by one, and those that cannot be are told with the reason. A
+    day that another load has added in the meantime stays as that one left it. Only file
+    names pass through the driver.
     """
-    loaded = {}
+    load = Load()
     for model in models:
+        there = _loaded_days(spark, f"{dst}/{model}")
         new = {}
         for day in days_between(start, end):
-            if not _exists(spark, f"{dst}/{model}/dt={day}"):
-                path = find_snapshot(spark, src, model, day)
-                if path:
-                    new[day] = path
-        loaded[model] = _load(spark, new, model, f"{dst}/{model}") if new else []
-    return loaded
+            path = None if day in there else find_snapshot(spark, src, model, day)
+            if path:
+                new[day] = path
+        load.loaded[model], load.failed[model] = _load(spark, new, model, f"{dst}/{model}")
+    return load
+
+
+def ingest_snapshots(
+    spark: SparkSession, src: str, dst: str, start, end, models: Sequence[str] = MODELS
+) -> dict[str, list[dt.date]]:
+    """``load_snapshots`` that warns of failed days; returns the days loaded per model."""
+    load = load_snapshots(spark, src, dst, start, end, models)
+    for model, failed in load.failed.items():
+        for day, reason in failed.items():
+            warnings.warn(f"{model} of {day} is not loaded: {reason}"[:500], stacklevel=2)
+    return load.loaded
 
 
 def remove_snapshots(
     spark: SparkSession, dst: str, start, end, models: Sequence[str] = MODELS
 ) -> None:
-    """Drop the loaded days of the window."""
-    fs = _file_system(spark, dst)
+    """Drop the loaded days of the window, by one marker per model; their files go after that."""
     for model in models:
+        path = f"{dst}/{model}"
+        there = visible(spark, path)
+        gone = [day for day in days_between(start, end) if day in there]
+        if gone:
+            commit(spark, path, dict.fromkeys(gone), replace=True)
+        for day in gone:
+            if there[day].folder:
+                delete(spark, f"{path}/{there[day].folder}")
         for day in days_between(start, end):
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{dst}/{model}/dt={day}"), True)
+            delete(spark, f"{path}/dt={day}")
+
+
+def _loaded_days(spark: SparkSession, path: str) -> set[dt.date]:
+    """Days of the table. One whose days were stored without markers gets a marker that lists them."""
+    if not is_committed(spark, path) and exists(spark, path):
+        fs = file_system(spark, path)
+        plain = [entry.getPath().getName() for entry in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/dt=*"))]
+        if plain:
+            commit(spark, path, {as_day(name.removeprefix("dt=")): Day(name) for name in plain}, replace=False)
+    return set(visible(spark, path))
 
 
-def _load(spark: SparkSession, new: dict[dt.date, str], model: str, dst: str) -> list[dt.date]:
-    """Load all days at once or else one by one; the days that are there then."""
+def _load(spark: SparkSession, new: dict[dt.date, str], model: str, dst: str) -> tuple[list[dt.date], dict[dt.date, str]]:
+    """Load all days at once or else one by one: the days added, and those that failed."""
+    if not new:
+        return [], {}
     try:
-        _copy(spark, new, model, dst)
-        return sorted(new)
+        return _copy(spark, new, model, dst), {}
     except (Py4JJavaError, PySparkException):
-        done = []
+        done, failed = [], {}
         for day in sorted(new):
             try:
-                _copy(spark, {day: new[day]}, model, dst)
-                done.append(day)
+                done += _copy(spark, {day: new[day]}, model, dst)
             except (Py4JJavaError, PySparkException) as failure:
-                warnings.warn(f"{model} of {day} is not loaded: {failure}"[:500], stacklevel=2)
-        return done
+                failed[day] = str(failure)
+        return done, failed
 
 
-def _copy(spark: SparkSession, paths: dict[dt.date, str], model: str, dst: str) -> None:
+def _copy(spark: SparkSession, paths: dict[dt.date, str], model: str, dst: str) -> list[dt.date]:
     stored = SNAPSHOTS[model]
     schema = type(stored)([field for field in stored if field.name != "dt"])
     days = [
@@ -117,29 +155,10 @@ def _copy(spark: SparkSession, paths: dict[dt.date, str], model: str, dst: str)
     every = days[0]
     for day in days[1:]:
         every = every.unionByName(day)
-    # A day's folder appears by a rename once its files are complete; readers and
-    # later loads pass over names that start with an underscore.
-    side = f"{dst}/_loading-{uuid.uuid4().hex}"
-    every.write.partitionBy("dt").parquet(side)
-    fs, path = _file_system(spark, dst), spark._jvm.org.apache.hadoop.fs.Path
-    for day in paths:
-        if fs.exists(path(f"{side}/dt={day}")):
-            fs.rename(path(f"{side}/dt={day}"), path(f"{dst}/dt={day}"))
-        else:
-            fs.mkdirs(path(f"{dst}/dt={day}"))
-    fs.delete(path(side), True)
+    return commit(spark, dst, stage(every, dst, paths), replace=False)
 
 
 def _below(path, prefix: str) -> str:
     """The part of a path that starts with the day's folder."""
     text = path.toString()
     return text[text.rindex(f"/{prefix}"):]
-
-
-def _file_system(spark: SparkSession, path: str):
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    return spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    return _file_system(spark, path).exists(spark._jvm.org.apache.hadoop.fs.Path(path))

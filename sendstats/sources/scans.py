@@ -1,8 +1,8 @@
 """Scans of date-partitioned tables.
 
 Layout: ``<root>/sessions``, ``<root>/Study``, ``<root>/Experiment`` and
-``<root>/App``, Parquet partitioned by ``dt``. A day without data simply
-matches nothing.
+``<root>/App``, Parquet partitioned by ``dt``; tables that ``load_snapshots`` fills have
+commit markers besides. A day without data simply matches nothing.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sendstats.sources.committed import is_committed, read_committed
 from sendstats.sources.schemas import FLAT_KEYS, SESSIONS, SNAPSHOTS
 
 MODELS = tuple(SNAPSHOTS)
@@ -63,6 +64,9 @@ def read_sessions(spark: SparkSession, path: str, report: str = "all") -> DataFr
 
 
 def read_snapshots(spark: SparkSession, path: str, model: str) -> DataFrame:
+    """The snapshots of a model: the committed days only, if the table has markers."""
+    if is_committed(spark, path):
+        return flat_keys(read_committed(spark, path, SNAPSHOTS[model]), model)
     return flat_keys(spark.read.schema(SNAPSHOTS[model]).parquet(path), model)
 
 

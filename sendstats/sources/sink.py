@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sendstats.functions.rates import percent_text
+from sendstats.sources.committed import delete, file_system
 from sendstats.sources.scans import as_day
 
 # File name parts and CSV header per report.
@@ -57,20 +60,75 @@ def csv_view(report: DataFrame, kind: str, start, end) -> DataFrame:
     return report.select("message_id", "app_id", name.alias("report"), *shown)
 
 
-def write_report(report: DataFrame, kind: str, start, end, path: str) -> None:
-    """Write ``<path>/app_id=.../report=.../*.csv``, sorted by message.
+def write_report(
+    report: DataFrame, kind: str, start, end, path: str, covered: DataFrame | None = None
+) -> None:
+    """Write ``<path>/app_id=.../report=.../*.csv``, in order of messages.
+
+    Rows are partitioned by ranges of app and order, so that an app too large for one task
+    has several parts, whose names put them in order. Other reports in the same folder stay.
 
-    Other reports in the same folder stay; a rerun replaces its own files. An app
-    without rows writes nothing. ``rebalance`` gathers an app's rows and
-    splits an app that is too large for one task.
+    A manifest below ``<path>/_manifest`` lists the folders of each kind of report and window.
+    A rerun replaces its own files, and removes what the manifest lists of the apps in
+    ``covered`` (app_id; all apps without it) and the rerun has no rows for: an app without
+    rows, or one that has another name by now. Folders are listed before they are written
+    and until they are removed, so that a rerun after a failure finds them.
     """
+    spark = report.sparkSession
     view = csv_view(report, kind, start, end)
+    # The rows are few next to what they are counted from: written once, read for listing and files.
+    staged = f"{path}/_rows-{uuid.uuid4().hex}"
+    view.write.parquet(staged)
+    rows = spark.read.schema(view.schema).parquet(staged)
     folder = ["app_id", "report"]
     order = ["message_id"]
     if "Domain" in view.columns:
         order += [F.col("Domain") == "All", "Domain"]
     elif "Subject" in view.columns:
         order += ["Subject"]
-    rows = view.hint("rebalance", "app_id").sortWithinPartitions(*folder, *order)
-    writer = rows.drop("message_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    manifest = Manifest(spark, path, kind, start, end)
+    listed, before = rows.select(*folder).distinct(), manifest.read()
+    mine = before if covered is None else before.join(covered.select("app_id").distinct(), "app_id", "left_semi")
+    gone = [tuple(r) for r in mine.join(listed, folder, "left_anti").toLocalIterator()]
+    manifest.write(before.unionByName(listed).distinct())
+    ranged = rows.repartitionByRange(*folder, *order).sortWithinPartitions(*folder, *order)
+    writer = ranged.drop("message_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*folder).options(**CSV_OPTIONS).csv(path)
+    for app_id, name in gone:
+        delete(spark, f"{path}/app_id={app_id}/report={escaped(spark, name)}")
+    if gone:
+        left = spark.createDataFrame(gone, before.schema)
+        manifest.write(manifest.read().join(left, folder, "left_anti"))
+    delete(spark, staged)
+
+
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as it stands in a folder's name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+class Manifest:
+    """The folders (app_id, report) of one kind of report and window, in numbered versions of which the last counts."""
+
+    SCHEMA = "app_id bigint, report string"
+
+    def __init__(self, spark: SparkSession, path: str, kind: str, start, end):
+        self.spark = spark
+        self.path = f"{path}/_manifest/{kind}_{as_day(start):%Y%m%d}_{as_day(end):%Y%m%d}"
+
+    def versions(self) -> list[int]:
+        """Those that were written to their end."""
+        fs, path = file_system(self.spark, self.path), self.spark._jvm.org.apache.hadoop.fs.Path
+        return sorted(int(e.getPath().getParent().getName()) for e in fs.globStatus(path(f"{self.path}/*/_SUCCESS")) or [])
+
+    def read(self) -> DataFrame:
+        there = self.versions()
+        if not there:
+            return self.spark.createDataFrame([], self.SCHEMA)
+        return self.spark.read.schema(self.SCHEMA).parquet(f"{self.path}/{there[-1]}")
+
+    def write(self, rows: DataFrame) -> None:
+        there = self.versions()
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{there[-1] + 1 if there else 1}")
+        for old in there:
+            delete(self.spark, f"{self.path}/{old}")

@@ -8,10 +8,12 @@ import pytest
 
 import scenario as s
 from sendstats.plans.runner import run_report
-from sendstats.sources.ingest import find_snapshot, ingest_snapshots, remove_snapshots, snapshot_pattern
+from sendstats.sources import ingest
+from sendstats.sources.committed import Day, commit, stage, visible
+from sendstats.sources.ingest import find_snapshot, ingest_snapshots, load_snapshots, remove_snapshots, snapshot_pattern
 from sendstats.sources.scans import app_asof, read_snapshots, scan_sessions, scan_snapshots
 from sendstats.sources.schemas import SNAPSHOTS
-from sendstats.sources.sink import HEADERS
+from sendstats.sources.sink import HEADERS, write_report
 
 
 @pytest.fixture(scope="module")
@@ -36,7 +38,9 @@ def test_scans_take_both_end_days_and_tolerate_missing_ones(spark, root):
     assert days("20240302", "20240308") == {"2024-03-03"}
     assert days("2024-03-04", dt.date(2024, 3, 8)) == set()
     study = scan_snapshots(spark, f"{root}/Study", "Study", s.START, s.END)
-    assert study.where("name = 'Hello live'").count() == 0 and study.count() == 11
+    # The eleven of the window's two days, and the message that is deleted later.
+    assert study.where("name = 'Hello live'").count() == 0 and study.count() == 12
+    assert [str(r.dt) for r in study.where(study.message_id == s.DELETED).select("dt").collect()] == ["2024-03-01"]
     assert {r.name for r in app_asof(spark, f"{root}/App", s.END).collect()} == {"Shop/EU", "Games"}
 
 
@@ -156,3 +160,108 @@ def test_snapshots_lie_at_any_depth_and_fail_alone(spark, tmp_path):
         loaded = ingest_snapshots(spark, str(src), dst, "20180427", "20180428", ["App"])
     assert loaded == {"App": [dt.date(2018, 4, 27)]}
     assert [r.name for r in read_snapshots(spark, f"{dst}/App", "App").collect()] == ["deep"]
+
+
+def app_files(spark, src, days, name="loaded"):
+    schema = type(SNAPSHOTS["App"])([f for f in SNAPSHOTS["App"] if f.name != "dt"])
+    row = ((1,), (50,), name, "d@x", "mail", ["mail"], None)
+    for day in days:
+        spark.createDataFrame([row], schema).write.parquet(f"{src}/{day}000000/all_app.metadata")
+
+
+def stored(spark, dst):
+    return sorted((str(r.dt), r.name) for r in read_snapshots(spark, f"{dst}/App", "App").select("dt", "name").collect())
+
+
+def test_a_load_that_breaks_shows_none_of_its_days(spark, tmp_path, monkeypatch):
+    src, dst = str(tmp_path / "in"), str(tmp_path / "out")
+    app_files(spark, src, ["20240501", "20240502", "20240503"])
+    ingest_snapshots(spark, src, dst, "20240501", "20240501", ["App"])
+    before = stored(spark, dst)
+
+    def broken(*args, **kwargs):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        # All files are written, and the load ends before its marker.
+        patch.setattr(ingest, "commit", broken)
+        with pytest.raises(KeyboardInterrupt):
+            ingest_snapshots(spark, src, dst, "20240501", "20240503", ["App"])
+    assert stored(spark, dst) == before == [("2024-05-01", "loaded")]
+    assert len(ingest_snapshots(spark, src, dst, "20240501", "20240503", ["App"])["App"]) == 2
+    assert len(stored(spark, dst)) == 3
+
+
+def test_of_two_loads_of_a_day_one_counts(spark, tmp_path):
+    path = str(tmp_path / "out" / "App")
+    day, other = dt.date(2024, 5, 1), dt.date(2024, 5, 2)
+    def rows(name, *days):
+        return spark.createDataFrame([((1,), (50,), name, "d@x", "mail", ["mail"], None, d) for d in days], SNAPSHOTS["App"])
+
+    first, second = stage(rows("a", day), path, [day]), stage(rows("b", day, other), path, [day, other])
+    assert commit(spark, path, second, replace=False) == [day, other]
+    assert commit(spark, path, first, replace=False) == []
+    assert stored(spark, str(tmp_path / "out")) == [("2024-05-01", "b"), ("2024-05-02", "b")]
+    # Replacing and dropping touch one day only; a marker that was cut off counts for nothing.
+    assert commit(spark, path, first, replace=True) == [day]
+    assert commit(spark, path, {other: None}, replace=True) == [other]
+    Path(path, "_commits", "000000000099.json").write_text('{"2024-05-09": {"fol')
+    assert stored(spark, str(tmp_path / "out")) == [("2024-05-01", "a")]
+    assert commit(spark, path, {other: Day(None, "empty")}, replace=False) == [other]
+    assert visible(spark, path)[other] == Day(None, "empty") and len(stored(spark, str(tmp_path / "out"))) == 1
+
+
+def test_days_stored_without_markers_stay(spark, tmp_path):
+    src, dst = str(tmp_path / "in"), str(tmp_path / "out")
+    row = ((1,), (50,), "plain", "d@x", "mail", ["mail"], None, dt.date(2024, 5, 1))
+    spark.createDataFrame([row], SNAPSHOTS["App"]).write.partitionBy("dt").parquet(f"{dst}/App")
+    assert stored(spark, dst) == [("2024-05-01", "plain")]
+    app_files(spark, src, ["20240501", "20240502"])
+    (tmp_path / "in" / "20240503000000").mkdir()
+    (tmp_path / "in" / "20240503000000" / "all_app.metadata").write_text("no parquet")
+    load = load_snapshots(spark, src, dst, "20240501", "20240503", ["App"])
+    assert load.loaded == {"App": [dt.date(2024, 5, 2)]} and list(load.failed["App"]) == [dt.date(2024, 5, 3)]
+    assert stored(spark, dst) == [("2024-05-01", "plain"), ("2024-05-02", "loaded")]
+
+
+def push_rows(spark, app, n, name="Shop"):
+    columns = "App string, app_id bigint, message_id bigint, MessageName string, StartDate string, Sent bigint, Open bigint, Open_PCT double, Held_Back bigint, Bounce bigint, Bounce_PCT double, MessageLink string"
+    rows = [(name, app, i, f"m{i:06}", None, 1, 1, 0.5, 0, 0, 0.0, "x") for i in range(n)]
+    return spark.createDataFrame(rows, columns).repartition(5)
+
+
+def test_parts_of_a_large_app_are_in_order(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_report(push_rows(spark, 1, 4000).unionByName(push_rows(spark, 2, 3)), "push", s.START, s.END, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted(tmp_path.glob("app_id=1/report=*/*.csv"))
+    names = [row[0] for part in parts for row in list(csv.reader(part.open(newline="")))[1:]]
+    assert len(parts) > 1 and names == [f"m{i:06}" for i in range(4000)]
+
+
+def test_a_rerun_removes_what_it_has_no_rows_for(spark, tmp_path):
+    def files():
+        return {(p.parent.parent.name, p.parent.name) for p in tmp_path.glob("app_id=*/report=*/*.csv")}
+
+    def write(report, covered=None, window=(s.START, s.END)):
+        ids = None if covered is None else spark.createDataFrame([(c,) for c in covered], "app_id bigint")
+        write_report(report, "push", *window, str(tmp_path), ids)
+
+    one, two, three = (push_rows(spark, app, 3, f"Shop: {app}") for app in (1, 2, 3))
+    name = "report=PushData_Shop%3A {}_20240301_20240303"
+    folder = lambda app: (f"app_id={app}", name.format(app))
+    write(one.unionByName(two).unionByName(three))
+    write(two, window=("20240301", "20240302"))
+    other = ("app_id=2", "report=PushData_Shop%3A 2_20240301_20240302")
+    assert files() == {folder(1), folder(2), folder(3), other}
+    # The messages of app 2 are gone; app 3 is none of this run's apps.
+    write(one, covered=[1, 2])
+    assert files() == {folder(1), folder(3), other}
+    # An app's new name replaces the old one, and no rows at all leave no file.
+    write(push_rows(spark, 1, 3, "New"), covered=[1])
+    assert files() == {("app_id=1", "report=PushData_New_20240301_20240303"), folder(3), other}
+    write(one.limit(0))
+    assert files() == {other}
+    assert not list(tmp_path.glob("_rows*")) and len(list(tmp_path.glob("_manifest/*/*"))) == 2
