@@ -5,16 +5,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sendstats.sources.committed import delete
+
 SPACE = "[ \\t-\\r]+"  # U+0020 and U+0009 to U+000D
 SHINGLE = 5
 
 
 _shipped: set[str] = set()
+_recording: list[list[str]] = []
 
 
 def ship(spark: SparkSession) -> None:
@@ -46,7 +51,31 @@ def scratch(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="llm-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{root}/llm-{name}-{uuid.uuid4().hex}"
+    for tables in _recording:
+        tables.append(path)
+    return path
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """Lists the tables that are written while it is open, for ``discard``."""
+    tables: list[str] = []
+    _recording.append(tables)
+    try:
+        yield tables
+    finally:
+        _recording[:] = [t for t in _recording if t is not tables]
+
+
+def discard(spark: SparkSession, tables: list[str], reader: DataFrame | None = None) -> None:
+    """Delete tables that nothing reads any more; none of them if ``reader`` does."""
+    if reader is not None:
+        names = {path.rsplit("/", 1)[1] for path in tables}
+        if any(names & set(file.split("/")) for file in reader.inputFiles()):
+            return
+    for path in tables:
+        delete(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -140,16 +140,26 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 def training_order(docs: DataFrame) -> DataFrame:
     """The mixed documents as rows sorted by training position, texts cut where only a part is taken.
 
-    Columns as in ``docs``, then ``position``. A document that is taken more than once
-    has a row for each pass. The sort is by ranges, over all partitions.
+    Columns as in ``docs``, then ``position``; ``n_chars`` of a cut text counts what is left.
+    A document that is taken more than once has a row for each pass, one of which nothing is
+    taken, as with NULL and empty texts, has none. An empty table gives no rows. The sort is by ranges, over all partitions.
     """
     columns = docs.columns
     tagged = materialize(sized(docs.select(F.struct(*columns).alias("_row"), "doc_id", "source", "text")).drop("text").withColumn(
         "_id", F.monotonically_increasing_id()), "sized")
     taken = passes(mix(tagged, "_id")).select("_id", "words", "position")
     joined = tagged.join(taken, "_id")
-    # Of a cut text the first words stay, with one space between them.
-    cut = F.array_join(F.slice(words_of(F.col("_row.text")), F.lit(1), F.col("words").cast("int")), " ")
-    text = F.when(F.col("words") < F.col("size"), cut).otherwise(F.col("_row.text"))
-    fields = [text.alias(c) if c == "text" else F.col(f"_row.{c}").alias(c) for c in columns]
+    # Of a cut text the first words stay, with the white space before each of them.
+    whole = F.coalesce(F.col("_row.text"), F.lit(""))
+    gaps, some = F.split(whole, "[^ \\t-\\r]+"), words_of(whole)
+    first = F.transform(F.sequence(F.lit(0), F.col("words").cast("int") - 1), lambda i: F.concat(F.get(gaps, i), F.get(some, i)))
+    is_cut = F.col("words") < F.col("size")
+    cut = F.array_join(first, "")
+    changed = {"text": cut, "n_chars": F.length(cut)}
+    fields = []
+    for field in docs.schema:
+        value = F.col(f"_row.{field.name}")
+        if field.name in changed:
+            value = F.when(is_cut, changed[field.name].cast(field.dataType)).otherwise(value)
+        fields.append(value.alias(field.name))
     return joined.select(*fields, "position").orderBy("position", "doc_id")

@@ -180,3 +180,15 @@ def test_clusters_of_odd_vectors(spark):
     few = centroid_clusters(frame.where("vec_id = 8"), components=3).collect()
     assert [(r.vec_id, r.cluster, r.distance, r.inertia) for r in few] == [(8, 0, 0, 0)] * 2
     assert centroid_clusters(frame.limit(0), components=3).count() == 0
+
+
+def test_cut_texts_keep_their_white_space_and_are_counted(spark):
+    from sendstats.llm.mixing import training_order
+
+    rows = [(i, f"  {words(9, 10 * i)}\n\n{words(8)} \t end", f"s{i % 3}", 999) for i in range(40)] + [(99, None, "s1", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars bigint")
+    texts = {r[0]: r[1] for r in rows}
+    out = training_order(docs).collect()
+    cut = [r for r in out if r.text != texts[r.doc_id]]
+    assert cut and all(texts[r.doc_id].startswith(r.text) and r.n_chars == len(r.text) and not r.text[-1].isspace() for r in cut)
+    assert all(r.n_chars == 999 for r in out if r.text == texts[r.doc_id])
