@@ -8,10 +8,12 @@ import pytest
 
 import scenario as s
 from sendstats.operators import sizing
+from sendstats.operators.counts import collapsed
+from sendstats.operators.nesting import with_variant_set
 from sendstats.plans.domain import domain_report
 from sendstats.plans.inputs import read_inputs
 from sendstats.plans.push import push_report
-from sendstats.plans.subject import ab_report, subject_report
+from sendstats.plans.subject import ab_report, subject_report, variant_counters
 
 REPORTS = {"domain": domain_report, "subject": subject_report, "ab": ab_report, "push": push_report}
 EVENT = {
@@ -90,3 +92,27 @@ def test_long_app_lists_are_joined_salted(spark, root, monkeypatch):
     plan = executed(domain_report(read_inputs(spark, root, "domain"), s.START, s.END))
     assert "monotonically_increasing_id" in plan
     assert len(session_scans(plan)) == 1
+
+
+def test_variants_are_spread_after_the_first_shuffle(spark, root):
+    plan = executed(ab_report(read_inputs(spark, root, "ab"), s.START, s.END))
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "/sessions]" in line)
+    shuffles = [i for i, line in enumerate(lines[:scan]) if "Exchange hashpartitioning" in line]
+    spread = [i for i, line in enumerate(lines[:scan]) if "Generate explode(concat(" in line]
+    assert spread and max(spread) < max(shuffles)
+
+
+def test_shuffled_events_do_not_grow_with_variants(spark):
+    """Sets of one and of six variants: as many groups reach the first shuffle."""
+    ids = spark.createDataFrame([(1, 5)], "app_id bigint, message_id bigint")
+    pairs = spark.createDataFrame([(v, 5) for v in range(6)], "variant_id bigint, message_id bigint")
+    for n in (1, 6):
+        events = spark.range(1000).selectExpr(
+            "1L AS app_id", "5L AS message_id", "if(id % 2 = 0, 'Open', 'Sent') AS label", "id % 10 AS user_id", "DATE'2024-01-01' AS day",
+            f"transform(sequence(0, {n - 1}), v -> named_struct('variant', CAST(v AS BIGINT))) AS experiments",
+        )
+        sets = collapsed(with_variant_set(events), ["app_id", "message_id", "variants"], ["user_id", "day"])
+        assert sets.count() == 6
+        found = {r.variant_id: r for r in variant_counters(events, ids, pairs).collect()}
+        assert set(found) == {None, *range(n)} and {r.Unique_Open for r in found.values()} == {5} and {r.Open for r in found.values()} == {500}

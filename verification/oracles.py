@@ -359,6 +359,8 @@ SELECT 'email' AS channel, * FROM email_ids UNION ALL SELECT 'push', * FROM push
 SELECT message_id, label, count(*) AS occurrence FROM msg
 WHERE message_id IN (SELECT 4500000000000000 + unnest(range(40))) GROUP BY message_id, label"""),
         "sink_report_csv": query(f"SELECT {csv_select()} FROM domain_report", *DOMAIN_CTES),
+        "sink_rerun": query(f"SELECT {csv_select()} FROM domain_report WHERE app_id % 2 = 0", *DOMAIN_CTES),
+        "domain_report_stored": query("SELECT * FROM domain_report", *DOMAIN_CTES),
         "nest_events": query("""
 SELECT user_id, app_id, CAST(dt AS VARCHAR) AS dt, name, CAST(floor(time) AS BIGINT) AS second FROM occurrence"""),
         "nest_event_variants": query("""

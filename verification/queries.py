@@ -42,6 +42,7 @@ from sendstats.operators.nesting import (
     message_events,
     with_email,
 )
+from sendstats.plans.daystate import refresh, stored_domain_report
 from sendstats.plans.domain import KEYS, domain_report, with_all_rows
 from sendstats.plans.inputs import Inputs, Scope, company_apps
 from sendstats.plans.messages import DEFAULT_LINK_BASE, with_category
@@ -153,6 +154,25 @@ def sink_report_csv(spark, sf_dir):
     return written.select([F.col(c).cast("string").alias(c) for c in written.columns])
 
 
+def domain_report_stored(spark, sf_dir):
+    """The domain report from day counters that are built in three goes, over all days."""
+    inputs, root = fx.DerivedInputs(spark, sf_dir), scratch(spark)
+    fx.sessions(spark, sf_dir).write.partitionBy("dt").parquet(f"{root}/sessions")
+    for end in ("20240103", "20240117", fx.END):
+        refresh(spark, root, inputs, fx.START, end)
+    return stored_domain_report(spark, root, inputs, fx.START, fx.END)
+
+
+def sink_rerun(spark, sf_dir):
+    """The domain report of all apps, then again without the messages of odd apps: their files go."""
+    path, inputs = scratch(spark), fx.DerivedInputs(spark, sf_dir)
+    report = domain_report(inputs, fx.START, fx.END)
+    write_report(report, "domain", fx.START, fx.END, path)
+    write_report(report.where("app_id % 2 = 0"), "domain", fx.START, fx.END, path)
+    written = spark.read.options(**CSV_OPTIONS).csv(path)
+    return written.select([F.col(c).cast("string").alias(c) for c in written.columns])
+
+
 # Dimensions
 
 
@@ -422,7 +442,7 @@ def report(build):
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     over_tables = [
         src_sessions_range, src_snapshots_range, src_app_asof, src_ingest_snapshots,
-        src_unnest_ids, sink_report_csv,
+        src_unnest_ids, sink_report_csv, domain_report_stored, sink_rerun,
     ]
     over_inputs = [
         dim_study_latest, dim_message_ids, dim_category, dim_push_names, win_latest_study,
