@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sendstats.llm.common import materialize, words_of
+from sendstats.llm.common import materialize, once, words_of
 
 MAX_REPEATS = 3
 # Sources in order of their names weigh these, over and over.
@@ -149,12 +149,14 @@ def training_order(docs: DataFrame) -> DataFrame:
         "_id", F.monotonically_increasing_id()), "sized")
     taken = passes(mix(tagged, "_id")).select("_id", "words", "position")
     joined = tagged.join(taken, "_id")
-    # Of a cut text the first words stay, with the white space before each of them.
-    whole = F.coalesce(F.col("_row.text"), F.lit(""))
-    gaps, some = F.split(whole, "[^ \\t-\\r]+"), words_of(whole)
-    first = F.transform(F.sequence(F.lit(0), F.col("words").cast("int") - 1), lambda i: F.concat(F.get(gaps, i), F.get(some, i)))
+    # Of a cut text the first words stay, with the white space before each of them. Its pieces are
+    # made once a row, and not at all for whole texts.
     is_cut = F.col("words") < F.col("size")
-    cut = F.array_join(first, "")
+    text = F.when(is_cut, F.col("_row.text"))
+    joined = once(joined, "_gaps", F.when(is_cut, F.split(text, "[^ \\t-\\r]+")))
+    joined = once(joined, "_some", F.when(is_cut, words_of(text)))
+    first = lambda pieces: F.slice(pieces, F.lit(1), F.col("words").cast("int"))
+    cut = F.array_join(F.zip_with(first("_gaps"), first("_some"), lambda gap, word: F.concat(gap, word)), "")
     changed = {"text": cut, "n_chars": F.length(cut)}
     fields = []
     for field in docs.schema:
