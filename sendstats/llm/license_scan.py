@@ -54,7 +54,8 @@ NOTICES = [
 ]
 
 SHORT, LONG = 2, 3  # words of a k-gram: of phrases, of notices
-MAX_SHIFT = 3  # neighbouring diagonals, in words
+MAX_SHIFT = 6  # words that the hits of a span may be put off in all
+PIECE = 4_096  # words of a text whose grams are made together
 MIN_SHARE = 0.8  # of a notice's k-grams, for its label
 
 
@@ -91,44 +92,55 @@ def license_words(docs: DataFrame) -> DataFrame:
 
 
 def hits(docs: DataFrame, rows: list[tuple]) -> DataFrame:
-    """Every k-gram of every text that occurs in a template, and one row without template per document."""
+    """Every k-gram of every text that occurs in a template, and one row without template per document.
+
+    Texts are cut to pieces first and the pieces to single grams, which carry nothing of the text
+    but their own words: the work grows with the number of words, and a task holds one piece of grams.
+    """
     tagged = license_words(docs.select("doc_id", "text").withColumn("_row", F.monotonically_increasing_id()))
-    tagged = tagged.select("_row", "doc_id", "_words", F.size("_words").alias("n_words"))
-    grams = []
+    cut = f"transform(sequence(0, greatest(size(_words) - 1, 0), {PIECE}), s -> struct(s AS start, slice(_words, s + 1, {PIECE + LONG - 1}) AS words))"
+    pieces = tagged.select("_row", "doc_id", F.size("_words").alias("n_words"), F.explode(F.expr(cut)).alias("p")).select("*", "p.*")
+    grams = f"transform(sequence(0, least(size(words), {PIECE}) - 1), i -> slice(words, i + 1, {LONG}))"
+    # A text without words has one gram, NULL, so that its document stays.
+    grams = f"if(size(words) = 0, array(CAST(NULL AS array<string>)), {grams})"
+    flat = pieces.select("_row", "doc_id", "n_words", "start", F.posexplode(F.expr(grams)).alias("_i", "_gram"))
+    flat = flat.withColumn("at", F.col("start") + F.col("_i"))
+    known = template_grams(docs.sparkSession, rows).groupBy("hash", "gram").agg(
+        F.collect_list(F.struct("template", "exact", "label", "n_grams", "position")).alias("found")
+    )
     for k in (SHORT, LONG):
-        gram = ", ".join(f"_words[i + {j}]" for j in range(k))
-        grams.append(
-            f"if(n_words < {k}, CAST(array() AS array<bigint>), "
-            f"transform(sequence(0, n_words - {k}), i -> xxhash64({gram})))"
-        )
-    # The first NULL stands for the document itself, so that one without a hit stays.
-    flat = tagged.select("*", F.posexplode(F.expr(f"concat(array(CAST(NULL AS bigint)), {grams[0]}, {grams[1]})")).alias("_at", "hash"))
-    shorts = f"greatest(n_words - {SHORT - 1}, 0)"
-    flat = flat.withColumn("at", F.expr(f"if(_at <= {shorts}, _at - 1, _at - 1 - {shorts})"))
-    known = template_grams(docs.sparkSession, rows)
-    own = known.limit(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in known.schema.fields])
-    # Broadcast: a few hundred rows, all of them written down in this module.
-    found = flat.join(F.broadcast(known.union(own)), flat.hash.eqNullSafe(known.hash)).drop("hash")
-    same = F.col("template").isNull() | (F.slice("_words", F.col("at") + 1, F.size("gram")) == F.col("gram"))
-    return found.where(same).select(
-        "_row", "doc_id", F.col("n_words").cast("long").alias("n_words"),
-        "template", "exact", "label", "n_grams", "position", "at",
+        gram = ", ".join(f"_gram[{i}]" for i in range(k))
+        own = known.where(F.size("gram") == k).toDF("_hash", "_words", f"found{k}")
+        flat = flat.withColumn("hash", F.expr(f"if(size(_gram) >= {k}, xxhash64({gram}), NULL)"))
+        on = (F.col("hash") == F.col("_hash")) & (F.slice("_gram", 1, k) == F.col("_words"))
+        # Broadcast: a few hundred rows, all of them written down in this module.
+        flat = flat.join(F.broadcast(own), on, "left").drop("hash", "_hash", "_words")
+    none = lambda c: F.coalesce(c, F.array().cast(known.schema["found"].dataType))
+    some = flat.where(f"found{SHORT} IS NOT NULL OR found{LONG} IS NOT NULL OR at = 0")
+    found = F.explode_outer(F.concat(none(F.col(f"found{SHORT}")), none(F.col(f"found{LONG}"))))
+    return some.select("_row", "doc_id", F.col("n_words").cast("long").alias("n_words"), "at", found.alias("f")).select(
+        "_row", "doc_id", "n_words", "f.*", "at"
     )
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """Verified spans: hits voted to diagonals, neighbouring diagonals merged."""
-    diagonals = found.withColumn("diagonal", F.col("at") - F.col("position")).groupBy(
-        "_row", "doc_id", "n_words", "template", "exact", "label", "n_grams", "diagonal"
-    ).agg(F.count("template").alias("votes"), F.min("at").alias("first"))
-    # Phrases count at every diagonal of their own; only those of notices are merged.
-    order = Window.partitionBy("_row", "template").orderBy("diagonal")
-    apart = F.col("exact") | (F.col("diagonal") - F.lag("diagonal").over(order) > MAX_SHIFT)
-    marked = diagonals.withColumn("_new", F.when(F.coalesce(apart, F.lit(True)), 1).otherwise(0))
-    merged = marked.withColumn("_span", F.sum("_new").over(order)).groupBy(
-        "_row", "doc_id", "n_words", "template", "exact", "label", "n_grams", "_span"
-    ).agg(F.sum("votes").alias("votes"), F.min("first").alias("first_word"))
-    share = F.when(F.col("votes") > 0, F.least(F.col("votes") / F.col("n_grams"), F.lit(1.0))).otherwise(0.0)
+    """Spans with the share of their template that they hold, and whether that verifies them.
+
+    Hits are voted to diagonals. At each diagonal of a notice, the ones up to ``MAX_SHIFT`` words on are
+    merged with it, so that a span is no longer than its template and that shift. Each position of
+    the template counts once, and so does each place in the text, however often they are hit.
+    """
+    keys = ["_row", "doc_id", "n_words", "template", "exact", "label", "n_grams"]
+    diagonals = found.withColumn("diagonal", F.col("at") - F.col("position")).groupBy(*keys, "diagonal").agg(
+        F.collect_set("position").alias("positions"), F.min("at").alias("first_word")
+    )
+    near = Window.partitionBy("_row", "template").orderBy("diagonal").rangeBetween(0, MAX_SHIFT)
+    places = F.transform("positions", lambda p: p + F.col("diagonal"))
+    merged = diagonals.withColumn("places", places).withColumns({
+        c: F.when(F.col("exact"), F.size(c)).otherwise(F.size(F.array_distinct(F.flatten(F.collect_list(c).over(near)))))
+        for c in ("positions", "places")
+    })
+    share = F.coalesce(F.least("positions", "places") / F.col("n_grams"), F.lit(0.0))
     return merged.withColumn("share", share).withColumn(
         "verified", F.col("share") >= F.when(F.col("exact"), 1.0).otherwise(MIN_SHARE)
     )
@@ -138,8 +150,8 @@ def license_scan(docs: DataFrame, phrases=PHRASES, notices=NOTICES) -> DataFrame
     """License places and labels of every row of ``docs`` (doc_id, text).
 
     ``score`` is the largest share of a template that a span holds. NULL and empty
-    texts have no words, no places, empty labels and score 0. Repeated rows stay
-    apart, an empty table gives no rows, and other columns are not carried.
+    texts have no words, no places, empty labels and score 0. A text of any length is
+    read whole, in time proportional to its words. Repeated rows stay apart, an empty table gives no rows, and other columns are not carried.
     """
     found = spans(hits(docs, templates(phrases, notices)))
     place = F.coalesce(F.col("exact") & F.col("verified"), F.lit(False))

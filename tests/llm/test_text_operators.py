@@ -16,7 +16,7 @@ from sendstats.llm.boosting import fit
 from sendstats.llm.decontaminate import leaks, simhash, window_shape, without_leaks
 from sendstats.llm.html_blocks import main_text, main_texts
 from sendstats.llm.language_id import languages
-from sendstats.llm.license_scan import PHRASES, license_scan
+from sendstats.llm.license_scan import MAX_SHIFT, NOTICES, PHRASES, PIECE, license_scan
 from sendstats.llm.line_dedup import cleaned, line_dedup
 from sendstats.llm.mixing import mix, sized, training_order
 from sendstats.llm.near_dedup import deduplicated, near_duplicates
@@ -140,6 +140,34 @@ def test_licenses_against_brute_force(spark, tables):
     assert {r.doc_id: r.labels for r in own} == {1: "mit", 2: "all-rights-reserved", 3: ""}
 
 
+def test_license_labels_of_repetitive_and_long_texts(spark):
+    # Parts of notices over and over, and notices whose words stand in another order, hold none of them.
+    gpl = next(n for n, label in NOTICES if label == "gpl" and n.startswith("this program")).split()
+    parts = [gpl[i : i + 4] for i in range(0, len(gpl), 4)]
+    rows = [
+        (1, "free of charge " * 30), (2, "terms of the " * 40), (3, "of the license " * 50), (4, " ".join(w for p in parts[::-1] for w in p)),
+        (5, " ".join(f"{' '.join(p)} {words(12, 100 * i)}" for i, p in enumerate(parts))), (6, "to deal in the software without restriction " * 9),
+        # The whole notice over the border of two pieces, with words put in or left out.
+        (7, f"{words(PIECE - 9)} {' '.join(gpl)} {words(PIECE)}"), (8, f"{words(2 * PIECE - 20)} {' '.join(gpl[:12])} indeed so {' '.join(gpl[12:])}"),
+        (9, f"{words(30)} {' '.join(gpl[:15] + gpl[16:])}"), (10, f"{words(PIECE - 1)} mit license {words(PIECE - 2)} mit license"),
+    ]
+    found = {r.doc_id: r for r in license_scan(docs_of(spark, rows)).collect()}
+    assert {i: r.labels for i, r in found.items()} == {i: "gpl" if i in (7, 8, 9) else "mit" if i == 10 else "" for i in range(1, 11)}
+    assert max(found[i].score for i in range(1, 7)) < 0.6 and found[7].score == 1.0
+    # The shares counted by a plain version, whose spans start at each diagonal.
+    for i, text in rows[:9]:
+        w, best = text.split(), 0.0
+        for listed, k, width in ((PHRASES, 2, 0), (NOTICES, 3, MAX_SHIFT)):
+            for template in (t.split() for t, _ in listed):
+                grams = [template[p : p + k] for p in range(len(template) - k + 1)]
+                hit = [(j - p, p, j) for j in range(len(w) - k + 1) for p, g in enumerate(grams) if w[j : j + k] == g]
+                for d in {x[0] for x in hit}:
+                    own = [x for x in hit if d <= x[0] <= d + width]
+                    best = max(best, min(len({x[1] for x in own}), len({x[2] for x in own})) / len(grams))
+        assert found[i].score == pytest.approx(best), i
+    assert (found[10].n_base, found[10].first_word, found[10].last_word, found[10].n_words) == (2, PIECE - 1, 2 * PIECE - 1, 2 * PIECE + 1)
+
+
 def test_probminhash_estimates_weighted_similarity():
     rng = np.random.default_rng(3)
     common, left, right = (rng.integers(1, 2**62, n) for n in (300, 60, 60))
