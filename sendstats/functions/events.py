@@ -49,6 +49,28 @@ def event_label(name: Column) -> Column:
     return F.when(label == "", "Sent").otherwise(label)
 
 
+def event_causes(timed: bool) -> list[Column]:
+    """Counts of events by what becomes of them; they add up, but for ``bad_times``, to ``events``.
+
+    ``nameless`` and ``foreign`` events are no message events, ``bad_ids`` have no message id,
+    ``unknown_labels`` no counter. ``bad_times``, where times are read, have no day.
+    """
+    name = F.col("name")
+    message, known = is_message_event(name), event_label(name).isin(*EMAIL_COUNTERS, *PUSH_COUNTERS)
+    found = message & event_message_id(name).isNotNull()
+    causes = {
+        "events": F.lit(True),
+        "nameless": name.isNull(),
+        "foreign": ~message,
+        "bad_ids": message & event_message_id(name).isNull(),
+        "unknown_labels": found & ~known,
+        "counted": found & known,
+    }
+    if timed:
+        causes["bad_times"] = found & utc_day(F.col("time")).isNull()
+    return [F.count_if(cause).alias(title) for title, cause in causes.items()]
+
+
 def utc_day(seconds: Column) -> Column:
     """UTC date of epoch seconds, whatever the session time zone is.
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sendstats.functions.events import UNIQUE_LABELS
+from sendstats.operators.idfilter import probed
 from sendstats.operators.sizing import few_rows
 
 
@@ -62,14 +63,15 @@ def of_messages(events: DataFrame, ids: DataFrame, count: Callable[[DataFrame],
     """What ``count`` makes of the events of the (app, message) pairs in ``ids``.
 
     A short id list filters the events, so foreign messages are never shuffled.
-    A long one filters the finished counts, which gives the same rows because
-    ``count`` groups by both id columns; events are never shuffled by message id,
-    whatever share of them one message holds.
+    A long one filters them by a hashed bitmap, which leaves few foreign events, and
+    then the finished counts, which gives the same rows because ``count`` groups by both
+    id columns; events are never shuffled by message id, whatever share of them one
+    message holds.
     """
     pair = ["app_id", "message_id"]
     if few_rows(ids):
         return count(events.join(F.broadcast(ids), pair, "left_semi"))
-    return count(events).join(ids, pair, "left_semi")
+    return count(probed(events, ids, pair)).join(ids, pair, "left_semi")
 
 
 def counters_of_messages(

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from sendstats.functions.events import event_label, event_message_id, is_message_event, utc_day
+from sendstats.functions.events import event_causes, event_label, event_message_id, is_message_event, utc_day
 from sendstats.functions.mail import recipient_domain
 from sendstats.operators.sizing import join_few
 
@@ -22,9 +22,16 @@ def explode_events(sessions: DataFrame) -> DataFrame:
     return per_event.select(*carried, "event.*")
 
 
-def message_events(sessions: DataFrame) -> DataFrame:
-    """Message events only, decoded: ``message_id``, ``label``, and ``day``."""
-    events = explode_events(sessions).where(is_message_event(F.col("name")))
+def message_events(sessions: DataFrame, watch: Observation | None = None) -> DataFrame:
+    """Message events only, decoded: ``message_id``, ``label``, and ``day``.
+
+    ``watch`` gets the counts of what is dropped or cannot be decoded, by cause, when the
+    result is first worked out, in the same pass.
+    """
+    events = explode_events(sessions)
+    if watch is not None:
+        events = events.observe(watch, *event_causes("time" in events.columns))
+    events = events.where(is_message_event(F.col("name")))
     decoded = {
         "message_id": event_message_id(F.col("name")),
         "label": event_label(F.col("name")),

@@ -59,7 +59,7 @@ def domain_report(
     scope = Scope(inputs, end, company_id, app_id)
 
     sessions = scope.of_app(window.sessions.select("user_id", "app_id", "states", "attrs"))
-    events = message_events(with_email(sessions, scope.email_positions()))
+    events = message_events(with_email(sessions, scope.email_positions()), inputs.watch)
     counters = counters_of_messages(
         events.where(F.col("label").isin(*EMAIL_COUNTERS)),
         scope.ids(live, EMAIL), KEYS, EMAIL_COUNTERS, ["user_id", "email", "day"],

@@ -18,6 +18,9 @@ from sendstats.sources.scans import between_days, on_day, read_sessions, read_sn
 class Inputs:
     """Sessions and all snapshots, unfiltered; a report takes its own window."""
 
+    # An Observation that gets the counts of events that are not counted, by cause.
+    watch = None
+
     def __init__(self, sessions: DataFrame, study: DataFrame, experiment: DataFrame, app: DataFrame):
         self.sessions = sessions
         self.study = study

@@ -30,7 +30,7 @@ def push_report(
     scope = Scope(inputs, end, company_id, app_id)
 
     sessions = scope.sessions(window.sessions.select("app_id", "states"))
-    events = message_events(sessions).where(F.col("label").isin(*PUSH_COUNTERS))
+    events = message_events(sessions, inputs.watch).where(F.col("label").isin(*PUSH_COUNTERS))
     counters = counters_of_messages(
         events, scope.ids(live, PUSH), ["app_id", "message_id"], PUSH_COUNTERS
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from sendstats.plans.domain import domain_report
 from sendstats.plans.inputs import Scope, read_inputs
@@ -28,10 +28,12 @@ APP_PREFIX = "__A"  # marks an app id, anything else is a company id
 def run_report(
     spark: SparkSession, root: str, report_id: str, start, end, report_type: str,
     out: str, as_of, snapshot_source: str | None = None, link_base: str = DEFAULT_LINK_BASE,
+    watch: Observation | None = None,
 ) -> None:
     """Run one report for a company, an app or all apps and write its CSV files to ``out``.
 
-    With ``snapshot_source`` the window's snapshot files are loaded first. The
+    With ``snapshot_source`` the window's snapshot files are loaded first. ``watch`` gets
+    the counts of events that are not counted, by cause, in the report's own pass. The
     report type ``delete`` removes the window's loaded snapshots instead.
     """
     if report_type == DELETE:
@@ -48,5 +50,6 @@ def run_report(
     else:
         scope = {"company_id": int(report_id)}
     inputs = read_inputs(spark, root, columns)
+    inputs.watch = watch
     report = plan(inputs, start, end, link_base=link_base, **scope)
     write_report(report, layout, start, end, out, Scope(inputs, end, **scope).covered())

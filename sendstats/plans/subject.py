@@ -39,7 +39,7 @@ def subject_report(
     live = inputs.live_study
     scope = Scope(inputs, end, company_id, app_id)
 
-    events = _events(scope.sessions(window.sessions.select("user_id", "app_id", "states")))
+    events = _events(scope.sessions(window.sessions.select("user_id", "app_id", "states")), inputs.watch)
     counters = counters_of_messages(
         events, scope.ids(live, EMAIL), MESSAGE, EMAIL_COUNTERS, UNIQUE_KEYS
     )
@@ -119,8 +119,8 @@ def _wanted(df: DataFrame, wanted: DataFrame) -> DataFrame:
     return left.join(right, same, "left_semi")
 
 
-def _events(sessions: DataFrame) -> DataFrame:
-    return message_events(sessions).where(F.col("label").isin(*EMAIL_COUNTERS))
+def _events(sessions: DataFrame, watch=None) -> DataFrame:
+    return message_events(sessions, watch).where(F.col("label").isin(*EMAIL_COUNTERS))
 
 
 def _finish(rows, live, scope, link_base, extra=()) -> DataFrame:

@@ -360,6 +360,27 @@ SELECT message_id, label, count(*) AS occurrence FROM msg
 WHERE message_id IN (SELECT 4500000000000000 + unnest(range(40))) GROUP BY message_id, label"""),
         "sink_report_csv": query(f"SELECT {csv_select()} FROM domain_report", *DOMAIN_CTES),
         "sink_rerun": query(f"SELECT {csv_select()} FROM domain_report WHERE app_id % 2 = 0", *DOMAIN_CTES),
+        "interval_latest": query(
+            "SELECT message_id, app_id, name, action_type, CAST(dt AS VARCHAR) AS dt FROM live_study"),
+        "interval_definition": query("SELECT message_id, name, Type FROM definition"),
+        "interval_as_of": query("""
+SELECT m.app_id, m.message_id, m.day, m.occurrence, s.name, s.action_type, s.category_id
+FROM (SELECT app_id, message_id, day, count(*) AS occurrence FROM msg GROUP BY app_id, message_id, day) m
+JOIN study s ON s.app_id = m.app_id AND s.message_id = m.message_id
+  AND s.dt = (SELECT max(dt) FROM snap WHERE dt <= CAST(m.day AS DATE))"""),
+        "sessions_clustered": query("""
+SELECT dt, app_id, sessions, events FROM (SELECT CAST(dt AS VARCHAR) AS dt, app_id, count(*) AS events FROM occurrence GROUP BY dt, app_id)
+JOIN (SELECT CAST(dt AS VARCHAR) AS dt, app_id, count(*) AS sessions FROM session GROUP BY dt, app_id) USING (dt, app_id)"""),
+        "evt_causes": query(f"""
+SELECT app_id, count(*) AS events, count(*) FILTER (name IS NULL) AS nameless,
+  count(*) FILTER (NOT starts_with(name, '.m')) AS foreign,
+  count(*) FILTER (starts_with(name, '.m') AND id IS NULL) AS bad_ids,
+  count(*) FILTER (starts_with(name, '.m') AND id IS NOT NULL AND NOT known) AS unknown_labels,
+  count(*) FILTER (starts_with(name, '.m') AND id IS NOT NULL AND known) AS counted,
+  count(*) FILTER (starts_with(name, '.m') AND id IS NOT NULL AND time IS NULL) AS bad_times
+FROM (SELECT app_id, name, time, try_cast(substr(name, 3, 16) AS BIGINT) AS id,
+  substr(name, 20) IN ('', {", ".join(f"'{label}'" for label in sorted(EMAIL_COUNTERS.keys() | PUSH_COUNTERS.keys()))}) AS known FROM occurrence)
+GROUP BY app_id"""),
         "domain_report_stored": query("SELECT * FROM domain_report", *DOMAIN_CTES),
         "nest_events": query("""
 SELECT user_id, app_id, CAST(dt AS VARCHAR) AS dt, name, CAST(floor(time) AS BIGINT) AS second FROM occurrence"""),

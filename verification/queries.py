@@ -13,6 +13,7 @@ from sendstats.functions.events import (
     EMAIL_COUNTERS,
     PUSH_COUNTERS,
     day_text,
+    event_causes,
     event_label,
     event_message_id,
     is_message_event,
@@ -25,6 +26,7 @@ from sendstats.operators.dims import (
     SENDER_VAR,
     SUBJECT_VAR,
     ids_from_literals,
+    latest,
     message_ids,
     newest_definition,
     push_names,
@@ -50,10 +52,13 @@ from sendstats.plans.push import push_report
 from sendstats.plans.subject import MESSAGE, UNIQUE_KEYS, ab_report, subject_report, variant_counters
 from sendstats.functions.mail import file_safe
 from sendstats.sources.ingest import ingest_snapshots
+from sendstats.sources.intervals import Intervals, read_intervals, refresh_intervals
+from sendstats.sources.layout import write_sessions
 from sendstats.sources.scans import (
     MODELS,
     app_asof,
     check_window,
+    read_sessions,
     read_snapshots,
     scan_sessions,
     scan_snapshots,
@@ -173,6 +178,48 @@ def sink_rerun(spark, sf_dir):
     return written.select([F.col(c).cast("string").alias(c) for c in written.columns])
 
 
+def _stored_studies(spark, sf_dir) -> Intervals:
+    """The intervals of the message snapshots: of two days at once, then day by day."""
+    root = scratch(spark)
+    raw = fx.raw_study(spark, sf_dir)
+    for day in ([F.lit(d) for d in fx.SNAPSHOT_DAYS[:2]], *[[F.lit(d)] for d in fx.SNAPSHOT_DAYS[2:]]):
+        raw.where(F.col("dt").isin(*day)).write.mode("append").partitionBy("dt").parquet(f"{root}/Study")
+        refresh_intervals(spark, root, "Study")
+    return read_intervals(spark, root, "Study")
+
+
+def interval_latest(spark, sf_dir):
+    """``dim_study_latest`` from stored intervals."""
+    found = latest(_stored_studies(spark, sf_dir).on(fx.SNAPSHOT_DAYS[-1]), ["message_id"])
+    return found.select("message_id", "app_id", "name", "action_type", day_text(F.col("dt")).alias("dt"))
+
+
+def interval_definition(spark, sf_dir):
+    """``win_latest_study`` from stored intervals."""
+    return newest_definition(_stored_studies(spark, sf_dir).between(fx.START, fx.END))
+
+
+def interval_as_of(spark, sf_dir):
+    """Events by message and day, with what the snapshot of that day said of the message."""
+    events = message_events(fx.sessions(spark, sf_dir).select("app_id", "states"))
+    counted = events.groupBy("app_id", "message_id", "day").agg(F.count(F.lit(1)).alias("occurrence"))
+    met = _stored_studies(spark, sf_dir).joined(counted, ["app_id", "message_id"], "day")
+    return met.select(
+        "app_id", "message_id", day_text(F.col("day")).alias("day"), "occurrence", "name", "action_type", "category_id"
+    )
+
+
+def sessions_clustered(spark, sf_dir):
+    """Sessions and events by day and app, read from the clustered layout."""
+    path = scratch(spark)
+    write_sessions(fx.sessions(spark, sf_dir), path)
+    per_session = F.expr("aggregate(states, 0L, (n, s) -> n + coalesce(array_size(s.events), 0))")
+    counts = read_sessions(spark, path).groupBy("dt", "app_id").agg(
+        F.count(F.lit(1)).alias("sessions"), F.sum(per_session).alias("events")
+    )
+    return counts.withColumn("dt", day_text(F.col("dt")))
+
+
 # Dimensions
 
 
@@ -274,6 +321,11 @@ def _with_any_email(inputs, sessions):
     return with_email(sessions, email_position(inputs.live_app), "left")
 
 
+def evt_causes(inputs):
+    """Events by what becomes of them: counted, or not and why."""
+    return explode_events(inputs.sessions.select("app_id", "states")).groupBy("app_id").agg(*event_causes(timed=True))
+
+
 def flt_message_events(inputs):
     events = explode_events(inputs.sessions.select("states"))
     kept = events.where(is_message_event(F.col("name")))
@@ -443,6 +495,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     over_tables = [
         src_sessions_range, src_snapshots_range, src_app_asof, src_ingest_snapshots,
         src_unnest_ids, sink_report_csv, domain_report_stored, sink_rerun,
+        interval_latest, interval_definition, interval_as_of, sessions_clustered,
     ]
     over_inputs = [
         dim_study_latest, dim_message_ids, dim_category, dim_push_names, win_latest_study,
@@ -452,7 +505,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         agg_events_by_email, agg_push_events, agg_events_by_day, agg_domain_events,
         pivot_domain, pivot_subject, pivot_push, uniq_domain, uniq_subject, ab_totals, uniq_ab,
         join_domain_study, join_subject_lines, num_rates, str_pct_display, domain_all_rows,
-        str_delivery_type, str_sender_domain, dt_start_date, str_message_link,
+        str_delivery_type, str_sender_domain, dt_start_date, str_message_link, evt_causes,
     ]
     reports = [domain_report, subject_report, ab_report, push_report]
     return {
