@@ -10,7 +10,9 @@
    it shares most bands with before all others, and linked classes are joined.
 4. Then every pair of candidates that are still in different components is verified, once.
    Pairs within a component change nothing, so that groups of many near copies are not
-   compared pair by pair. A group of many classes is dealt to blocks.
+   compared pair by pair. A group of many classes is dealt to blocks, and a pair comes out
+   of one only if its parity sketches allow it: of two sets, the bits in which these differ are
+   at most as many as the elements that one set has and the other lacks. This loses no link.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from pyspark.sql import functions as F
 
 from sendstats.llm.common import SHINGLE, materialize, once, words_of
 from sendstats.llm.components import apart, component_labels, labelled, stars
-from sendstats.llm.probminhash import bands, fingerprints, shingles, signatures, weighted
+from sendstats.llm.probminhash import GOLDEN, bands, fingerprints, mixed, shingles, signatures, weighted
 from sendstats.operators.sizing import few_rows
 
 PERCENT = 80
@@ -36,6 +38,8 @@ LENGTH = 63
 CHUNK = 400_000
 # Classes with a band in common that are compared in one task.
 BLOCK = 1_000
+# The parity sketch of a set has 64 bits in each of these: bit i tells whether an odd number of its elements fall to it.
+PARITY = [f"p{i}" for i in range(16)]
 CLASS = ["_f1", "_f2"]
 # Finds a row again: hashes of its id and, twice, of its text.
 ROW = ["_who", "_t1", "_t2"]
@@ -98,19 +102,33 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def parities(n_sets: int, sets: np.ndarray, elements: np.ndarray) -> np.ndarray:
+    """One row per set of ``len(PARITY)`` words, the parity sketch of its distinct elements."""
+    bit = mixed(elements.astype(np.uint64) + GOLDEN)
+    out = np.zeros((n_sets, len(PARITY)), dtype=np.uint64)
+    word = (bit >> np.uint64(6)) % np.uint64(len(PARITY))
+    np.bitwise_xor.at(out, (sets, word.astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+    return out
+
+
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, n, sets, elements in _pieces(batches):
         counts = np.bincount(sets, minlength=n)
-        yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(counts), _lists(counts, elements)], names=["node", "n", "s"])
+        words = parities(n, sets, elements).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [rows.column(0), pa.array(counts), _lists(counts, elements), *[pa.array(np.ascontiguousarray(w)) for w in words.T]],
+            names=["node", "n", "s", *PARITY],
+        )
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, s) of the classes ``wanted``, from the text of one row each."""
+    """(node, n, s, p0...) of the classes ``wanted``, from the text of one row each."""
     ids = wanted.select(*ROW, "node")
     # Four numbers a class: a list of checked length is broadcast, a longer one joined by a shuffle of the texts.
     found = _keyed(docs).join(F.broadcast(ids) if few_rows(ids) else ids, ROW)
     found = found.groupBy(*ROW).agg(F.first("node").alias("node"), F.first("text").alias("text"))
-    return _hashed(found, "node").mapInArrow(_whole, "node bigint, n bigint, s array<bigint>")
+    kinds = ", ".join(f"{c} bigint" for c in PARITY)
+    return _hashed(found, "node").mapInArrow(_whole, f"node bigint, n bigint, s array<bigint>, {kinds}")
 
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -125,6 +143,12 @@ def _near(n, m):
     return 100 * F.least(n, m) >= PERCENT * F.greatest(n, m)
 
 
+def _may_link(x, y):
+    """Sets at 0.8 differ in a ninth of both sizes at most."""
+    differ = sum((F.bit_count(x[c].bitwiseXOR(y[c])) for c in PARITY), F.lit(0))
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * (x["n"] + y["n"])
+
+
 def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
@@ -140,21 +164,23 @@ def _to_centres(members: DataFrame) -> DataFrame:
     return materialize(_pairs(near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "pairs")
 
 
-def _across(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """All candidates of different labels; each pair of blocks of a large group has a key of its own."""
+def _across(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """All candidates of different labels that may link; each pair of blocks of a large group has a key of its own."""
     rows = labelled(members, labels, "node", "label")
     groups = rows.groupBy("key").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"), F.min("label").alias("x"), F.max("label").alias("y")
     ).where("x <> y").select("key", "k")
-    rows = materialize(rows.join(groups, "key"), "split")
+    rows = materialize(rows.join(groups, "key").join(sets.select("node", *PARITY), "node"), "split")
     dealt = rows.withColumn("mine", F.pmod(F.xxhash64("node"), "k"))
     every = F.explode(F.expr("sequence(0L, k - 1)"))
-    left = dealt.select("key", F.col("mine").alias("i"), every.alias("j"), "node", "label", "n")
-    right = dealt.select(
-        "key", every.alias("i"), F.col("mine").alias("j"), F.col("node").alias("other"), F.col("label").alias("its"), F.col("n").alias("m")
-    )
-    on = (left["key"] == right["key"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
-    return _pairs(left.join(right, on & (F.col("label") < F.col("its")) & _near(F.col("n"), F.col("m")))).distinct()
+    fields = ["node", "label", "n", *PARITY]
+    left = dealt.select("key", F.col("mine").alias("i"), every.alias("j"), *fields).alias("l")
+    right = dealt.select("key", every.alias("i"), F.col("mine").alias("j"), *fields).alias("r")
+    x, y = ({c: F.col(f"{side}.{c}") for c in fields} for side in "lr")
+    near = (x["label"] < y["label"]) & _near(x["n"], y["n"]) & _may_link(x, y)
+    on = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("key", "i", "j")]
+    both = left.join(right, on[0] & on[1] & on[2] & near).select(x["node"], y["node"].alias("other"))
+    return _pairs(both).distinct()
 
 
 def _joined(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -164,7 +190,7 @@ def _joined(members: DataFrame, sets: DataFrame) -> DataFrame:
     labels = component_labels(materialize(_links(best, sets), "links"))
     more = materialize(apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), labels), "pairs")
     labels = component_labels(stars(labels).unionByName(_links(more, sets)))
-    rest = _across(members, labels).join(best.unionByName(more), ["a", "b"], "left_anti")
+    rest = _across(members, labels, sets).join(best.unionByName(more), ["a", "b"], "left_anti")
     return component_labels(stars(labels).unionByName(_links(rest, sets)))
 
 

@@ -19,7 +19,7 @@ from sendstats.llm.language_id import languages
 from sendstats.llm.license_scan import MAX_SHIFT, NOTICES, PHRASES, PIECE, license_scan
 from sendstats.llm.line_dedup import cleaned, line_dedup
 from sendstats.llm.mixing import mix, sized, training_order
-from sendstats.llm.near_dedup import deduplicated, near_duplicates
+from sendstats.llm.near_dedup import PARITY, deduplicated, near_duplicates, parities
 from sendstats.llm.probminhash import signatures, weighted
 from sendstats.llm.quality_model import quality_scores
 from sendstats.llm.quality_rules import passing, quality_rules
@@ -179,6 +179,18 @@ def test_probminhash_estimates_weighted_similarity():
     assert list(b[2]) == pytest.approx([1 + np.log(2), 1, 1])
 
 
+def test_parity_sketches_never_differ_more_than_their_sets():
+    rng = np.random.default_rng(5)
+    for common, own in ((0, 1), (100, 0), (90, 12), (50, 400), (3_000, 900)):
+        values = rng.integers(0, 2**63, common + 2 * own).astype(np.uint64)
+        sides = [values[: common + own], np.concatenate([values[:common], values[common + own :]])]
+        rows = np.repeat([0, 1], [len(x) for x in sides])
+        words = parities(2, rows, np.concatenate(sides))
+        assert words.shape == (2, len(PARITY))
+        differ = sum(int(x).bit_count() for x in words[0] ^ words[1])
+        assert differ <= 2 * own and (own > 20 or differ >= 2 * own - 4)
+
+
 def test_near_duplicates_against_brute_force(spark, tables):
     base = words(200, 5_000)
     extra = [(20_000 + i, base.replace(f"w{5_000 + 9 * i} ", "changed ")) for i in range(20)]
