@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from itertools import islice
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,6 +47,9 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 
+# Folders that are removed at the same time, and those that are held at once.
+REMOVERS, REMOVED_AT_ONCE = 8, 10_000
+
 
 def csv_view(report: DataFrame, kind: str, start, end) -> DataFrame:
     """The report as it is written: percentages as text, the headings of the
@@ -72,7 +77,8 @@ def write_report(
     A rerun replaces its own files, and removes what the manifest lists of the apps in
     ``covered`` (app_id; all apps without it) and the rerun has no rows for: an app without
     rows, or one that has another name by now. Folders are listed before they are written
-    and until they are removed, so that a rerun after a failure finds them.
+    and until they are removed, so that a rerun after a failure finds them. The first report of
+    a window has nothing to replace and is appended: its commit moves each app's folder once.
     """
     spark = report.sparkSession
     view = csv_view(report, kind, start, end)
@@ -87,24 +93,54 @@ def write_report(
     elif "Subject" in view.columns:
         order += ["Subject"]
     manifest = Manifest(spark, path, kind, start, end)
-    listed, before = rows.select(*folder).distinct(), manifest.read()
-    mine = before if covered is None else before.join(covered.select("app_id").distinct(), "app_id", "left_semi")
-    gone = [tuple(r) for r in mine.join(listed, folder, "left_anti").toLocalIterator()]
-    manifest.write(before.unionByName(listed).distinct())
+    first = not manifest.versions() and not _written(spark, path, kind, start, end)
+    listed = rows.select(*folder).distinct()
+    manifest.write(manifest.read().unionByName(listed).distinct())
     ranged = rows.repartitionByRange(*folder, *order).sortWithinPartitions(*folder, *order)
-    writer = ranged.drop("message_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*folder).options(**CSV_OPTIONS).csv(path)
-    for app_id, name in gone:
-        delete(spark, f"{path}/app_id={app_id}/report={escaped(spark, name)}")
-    if gone:
-        left = spark.createDataFrame(gone, before.schema)
-        manifest.write(manifest.read().join(left, folder, "left_anti"))
+    writer = ranged.drop("message_id").write.mode("append" if first else "overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*folder).options(**CSV_OPTIONS).csv(path)
+    if not first:
+        known = manifest.read()
+        mine = known if covered is None else known.join(covered.select("app_id").distinct(), "app_id", "left_semi")
+        gone = mine.join(listed, folder, "left_anti").select(*folder)
+        if _remove(spark, path, gone):
+            manifest.write(known.join(gone, folder, "left_anti"))
     delete(spark, staged)
 
 
-def escaped(spark: SparkSession, value: str) -> str:
-    """A partition value as it stands in a folder's name."""
-    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+def _written(spark: SparkSession, path: str, kind: str, start, end) -> bool:
+    """Whether there is any folder named as those of the report, listed or not."""
+    head, tail = NAMES[kind]
+    named = f"{head}_*_{as_day(start):%Y%m%d}_{as_day(end):%Y%m%d}{tail}"
+    mine = f"{path}/app_id=*/report={{{named},__HIVE_DEFAULT_PARTITION__}}"
+    return bool(file_system(spark, path).globStatus(spark._jvm.org.apache.hadoop.fs.Path(mine)))
+
+
+def _remove(spark: SparkSession, path: str, folders: DataFrame) -> int:
+    """Remove the ``folders`` (app_id, report) as they come in, some at a time; how many there were."""
+    # Looked up once: to find a class by its name takes longer than to remove a folder.
+    fs, at, escape = file_system(spark, path), spark._jvm.org.apache.hadoop.fs.Path, _escape(spark)
+
+    def drop(row) -> None:
+        fs.delete(at(f"{path}/app_id={row.app_id}/report={escape(row.report)}"), True)
+
+    count, rows = 0, folders.toLocalIterator()
+    with ThreadPool(REMOVERS) as pool:
+        while batch := list(islice(rows, REMOVED_AT_ONCE)):
+            pool.map(drop, batch)
+            count += len(batch)
+    return count
+
+
+def read_report(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """The written reports of one kind, as text. The columns are given: else Spark lists all files again for the header of one."""
+    schema = ", ".join(f"`{c}` string" for c in HEADERS[kind])
+    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+
+
+def _escape(spark: SparkSession):
+    """The function that gives a partition value as it stands in a folder's name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
 
 
 class Manifest:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+import shutil
 from pathlib import Path
 
 import pytest
@@ -13,7 +14,7 @@ from sendstats.sources.committed import Day, commit, stage, visible
 from sendstats.sources.ingest import find_snapshot, ingest_snapshots, load_snapshots, remove_snapshots, snapshot_pattern
 from sendstats.sources.scans import app_asof, read_snapshots, scan_sessions, scan_snapshots
 from sendstats.sources.schemas import SNAPSHOTS
-from sendstats.sources.sink import HEADERS, write_report
+from sendstats.sources.sink import HEADERS, read_report, write_report
 
 
 @pytest.fixture(scope="module")
@@ -265,3 +266,26 @@ def test_a_rerun_removes_what_it_has_no_rows_for(spark, tmp_path):
     write(one.limit(0))
     assert files() == {other}
     assert not list(tmp_path.glob("_rows*")) and len(list(tmp_path.glob("_manifest/*/*"))) == 2
+
+
+def test_only_a_report_that_is_there_is_overwritten(spark, tmp_path, monkeypatch):
+    modes = []
+    writer = type(spark.range(1).write)
+    plain = writer.mode
+    monkeypatch.setattr(writer, "mode", lambda self, mode: (modes.extend([mode] if mode else []), plain(self, mode))[1])
+
+    def write(report, window=(s.START, s.END)):
+        modes.clear()
+        write_report(report, "push", *window, str(tmp_path))
+        read = read_report(spark, str(tmp_path), "push").groupBy("app_id").count().orderBy("app_id").collect()
+        # The manifest is written before and, if folders were removed, after the files.
+        return modes[1], [tuple(r) for r in read]
+
+    one, two = push_rows(spark, 1, 3), push_rows(spark, 2, 4)
+    assert write(one.unionByName(two)) == ("append", [(1, 3), (2, 4)])
+    assert write(one.unionByName(two)) == ("overwrite", [(1, 3), (2, 4)])
+    assert write(two, ("20240301", "20240302")) == ("append", [(1, 3), (2, 8)])
+    # Files that no manifest lists are replaced, too.
+    shutil.rmtree(tmp_path / "_manifest")
+    assert write(one) == ("overwrite", [(1, 3), (2, 8)])
+    assert write(one.limit(0)) == ("overwrite", [(2, 8)])

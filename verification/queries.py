@@ -63,7 +63,7 @@ from sendstats.sources.scans import (
     scan_sessions,
     scan_snapshots,
 )
-from sendstats.sources.sink import CSV_OPTIONS, write_report
+from sendstats.sources.sink import read_report, write_report
 from verification import fixtures as fx
 
 RAW = {"Study": fx.raw_study, "Experiment": fx.raw_experiment, "App": fx.raw_app}
@@ -155,7 +155,7 @@ def sink_report_csv(spark, sf_dir):
     path = scratch(spark)
     report = domain_report(fx.DerivedInputs(spark, sf_dir), fx.START, fx.END)
     write_report(report, "domain", fx.START, fx.END, path)
-    written = spark.read.options(**CSV_OPTIONS).csv(path)
+    written = read_report(spark, path, "domain")
     return written.select([F.col(c).cast("string").alias(c) for c in written.columns])
 
 
@@ -174,7 +174,7 @@ def sink_rerun(spark, sf_dir):
     report = domain_report(inputs, fx.START, fx.END)
     write_report(report, "domain", fx.START, fx.END, path)
     write_report(report.where("app_id % 2 = 0"), "domain", fx.START, fx.END, path)
-    written = spark.read.options(**CSV_OPTIONS).csv(path)
+    written = read_report(spark, path, "domain")
     return written.select([F.col(c).cast("string").alias(c) for c in written.columns])
 
 
