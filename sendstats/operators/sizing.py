@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 # Parts that the rows of one key are dealt to in a shuffle join.
 SALTS = 32
+# Rows of one key beyond which it is dealt to parts, where keys are counted first.
+HOT_ROWS = 100_000
 
 
 def few_rows(df: DataFrame) -> bool:
@@ -23,7 +25,7 @@ def few_rows(df: DataFrame) -> bool:
     return df.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
 
 
-def join_few(big: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+def join_few(big: DataFrame, small: DataFrame, on: Sequence[str], how: str, count_keys: bool = False) -> DataFrame:
     """Inner, left or left-semi join of sessions, as they are scanned, with an id list.
 
     A list that turns out long is joined by a shuffle. There one key may hold a
@@ -31,12 +33,24 @@ def join_few(big: DataFrame, small: DataFrame, on: Sequence[str], how: str) -> D
     each of which meets its own copy of the list. The turn is the row's place in
     its file split, the same again when a lost task is repeated, and splits up
     identical rows too.
+
+    That shuffles the list ``SALTS`` times. With ``count_keys`` the rows of each key are
+    counted in a pass of its own, and only a key with more than ``HOT_ROWS`` is dealt.
     """
     if few_rows(small):
         return big.join(F.broadcast(small), on, how)
     turn = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
-    copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = big.withColumn("_salt", turn).join(
-        small.withColumn("_salt", copies), [*on, "_salt"], how
-    )
+    big = big.withColumn("_salt", turn)
+    last = F.lit(SALTS - 1)
+    if count_keys:
+        # Each stands for many rows, so there are few of them.
+        counts = big.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > HOT_ROWS)
+        hot = F.broadcast(counts.select(*[F.col(c).alias(f"_hot_{c}") for c in on], F.lit(True).alias("_hot")))
+        # NULL keys match nothing, but a left join keeps their rows.
+        same = [F.col(c).eqNullSafe(F.col(f"_hot_{c}")) for c in on]
+        big, small = (df.join(hot, same, "left").drop(*[f"_hot_{c}" for c in on]) for df in (big, small))
+        big = big.withColumn("_salt", F.when(F.col("_hot"), F.col("_salt")).otherwise(0)).drop("_hot")
+        last = F.when(F.col("_hot"), last).otherwise(0)
+    copies = F.explode(F.sequence(F.lit(0), last))
+    salted = big.join(small.withColumn("_salt", copies).drop("_hot"), [*on, "_salt"], how)
     return salted.drop("_salt")

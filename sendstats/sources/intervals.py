@@ -129,11 +129,11 @@ class Intervals:
     def joined(self, rows: DataFrame, on: Sequence[str], day: str) -> DataFrame:
         """Inner interval join: each of ``rows`` with what the newest snapshot up to its ``day`` says.
 
-        Short interval lists are broadcast after they were counted; for long ones the keys of ``rows`` are salted.
+        Short interval lists are broadcast after they were counted; for long ones the ``rows`` of hot keys are salted.
         """
         until = F.get(_day_array(self.days), F.array_position(_day_array(self.days), F.col("dt")).cast("int"))
         states = self.rows.withColumn("_until", until).withColumnRenamed("first_dt", "_from").drop("dt")
-        met = join_few(rows, states, on, "inner")
+        met = join_few(rows, states, on, "inner", count_keys=True)
         held = (F.col("_from") <= F.col(day)) & (F.col("_until").isNull() | (F.col(day) < F.col("_until")))
         return met.where(held).drop("_from", "_until")
 

@@ -6,6 +6,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import scenario as s
 from sendstats.operators import sizing
@@ -80,6 +81,14 @@ def test_interval_join(spark, monkeypatch, few):
     assert len(got) == len(expected) and {str(r) for r in got} == expected
 
 
+def test_a_long_interval_list_is_not_copied_for_all_keys(spark, monkeypatch):
+    monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", -1)
+    held = iv.Intervals(iv.row_intervals(spark.createDataFrame(history(3), SCHEMA), DAYS), DAYS)
+    met = held.joined(spark.range(13).select(F.col("id").alias("key"), F.lit(DAYS[-1]).alias("day")), ["key"], "day")
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode([0,1,2" not in plan and "explode(sequence(0, CASE WHEN" in plan
+
+
 def test_day_by_day_equals_all_at_once(spark, tmp_path):
     found, root = history(4), str(tmp_path)
     # Stored as studies, which is what the readers know.

@@ -219,6 +219,17 @@ def test_join_few_gives_the_same_rows_either_way(spark, monkeypatch, how, count)
     assert rows(many) == few and len(few) == count
 
 
+@pytest.mark.parametrize("how", ["left_semi", "inner", "left"])
+def test_only_hot_keys_of_a_long_list_are_copied(spark, monkeypatch, how):
+    # Key 1 and NULL are hot; keys 3 and 5 have one row each, key 7 none.
+    big = spark.range(1002).selectExpr("CASE WHEN id = 3 OR id = 5 THEN id WHEN id % 2 = 0 THEN 1L END AS k", "id % 4 AS v")
+    small = spark.createDataFrame([(1, "a"), (3, "b"), (3, "c"), (7, "d"), (None, "e")], "k bigint, w string")
+    few = rows(sizing.join_few(big, small, ["k"], how))
+    monkeypatch.setattr(sizing, "MAX_BROADCAST_ROWS", 1)
+    monkeypatch.setattr(sizing, "HOT_ROWS", 100)
+    assert rows(sizing.join_few(big, small, ["k"], how, count_keys=True)) == few and len(few) > 500
+
+
 def test_all_rows(spark):
     names = ["Sent", "Delivered", "Open", "Unique_Open", "Unique_Click", "Bounce", "Dropped", "Unsubscribe", "Spam"]
     schema = "app_id bigint, message_id bigint, Domain string, " + ", ".join(f"{n} bigint" for n in names)
