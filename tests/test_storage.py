@@ -6,6 +6,7 @@ import shutil
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import scenario as s
 from sendstats.plans.runner import run_report
@@ -15,6 +16,7 @@ from sendstats.sources.ingest import find_snapshot, ingest_snapshots, load_snaps
 from sendstats.sources.scans import app_asof, read_snapshots, scan_sessions, scan_snapshots
 from sendstats.sources.schemas import SNAPSHOTS
 from sendstats.sources.sink import HEADERS, read_report, write_report
+from verification import fixtures as fx
 
 
 @pytest.fixture(scope="module")
@@ -289,3 +291,18 @@ def test_only_a_report_that_is_there_is_overwritten(spark, tmp_path, monkeypatch
     shutil.rmtree(tmp_path / "_manifest")
     assert write(one) == ("overwrite", [(1, 3), (2, 8)])
     assert write(one.limit(0)) == ("overwrite", [(2, 8)])
+
+
+@pytest.mark.parametrize("name", ["raw_study", "raw_experiment", "raw_app"])
+def test_a_task_stores_the_snapshots_of_few_rows(spark, tmp_path, monkeypatch, name):
+    # One file of 400 parts or apps with up to four snapshots each, dealt to tasks of some 40.
+    monkeypatch.setattr(fx, "TASK_ROWS", 40)
+    ids = spark.range(400).selectExpr(
+        "id AS p_partkey", "'x' AS p_name", "CAST(id % 50 AS int) AS p_size", "id AS s_suppkey", "'s#1' AS s_name", "CAST(id % 25 AS int) AS s_nationkey"
+    ).coalesce(1)
+    for table in ("part", "supplier"):
+        ids.write.parquet(f"{tmp_path}/{table}.parquet")
+    plain, dealt = (getattr(fx, name)(spark, str(tmp_path), dealt=d) for d in (False, True))
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    largest = max(r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect())
+    assert largest < plain.count() / 4

@@ -2,7 +2,8 @@
 
 Every input is a row-wise projection of one whole table, so nothing here
 shuffles: ``events`` -> sessions, ``part`` -> messages and experiments,
-``supplier`` -> apps.
+``supplier`` -> apps. Only for snapshots that are stored by day the rows of the table are
+dealt first (``dealt``): each task sorts by day what its few narrow rows become.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ SNAPSHOT_DAYS = (
 )
 FIRST_MESSAGE = 4500000000000000
 HOT_MESSAGES = 40
+# Rows of a table that one task makes stored snapshots of.
+TASK_ROWS = 50_000
 
 DAYS = "array(" + ", ".join(f"DATE '{day}'" for day in SNAPSHOT_DAYS) + ")"
 
@@ -31,20 +34,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str, dealt: bool) -> DataFrame:
+    """``df`` in parts of some ``TASK_ROWS`` rows, whatever files it lies in, if it is to be ``dealt``."""
+    return df.repartition(max(1, -(-df.count() // TASK_ROWS)), key) if dealt else df
+
+
 def snapshots(df: DataFrame, first: str) -> DataFrame:
     """Each row once per snapshot from number ``first`` on, as ``s`` and ``dt``."""
     return df.selectExpr("*", f"posexplode({DAYS}) AS (s, dt)").where(f"s >= {first}")
 
 
-def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").selectExpr("p_partkey AS k", "p_name", "p_size")
+def parts(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    part = spread(table(spark, sf_dir, "part").selectExpr("p_partkey AS k", "p_name", "p_size"), "k", dealt)
     known = snapshots(part, "CASE WHEN p_size % 25 = 13 THEN 3 ELSE 0 END")
     # Some are deleted before the last snapshot.
     return known.where("NOT (s = 3 AND p_size % 25 = 4)")
 
 
-def raw_study(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parts(spark, sf_dir).selectExpr(
+def raw_study(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    return parts(spark, sf_dir, dealt).selectExpr(
         "struct(4500000000000000 + k AS id) AS __key__",
         "struct(k div 20 AS id) AS app",
         "concat(p_name, ' #', k, CASE WHEN k % 6 = 0 THEN concat(' v', s) ELSE '' END) AS name",
@@ -62,8 +70,8 @@ def raw_study(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    arms = parts(spark, sf_dir).where("k % 5 < 3").selectExpr(
+def raw_experiment(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
+    arms = parts(spark, sf_dir, dealt).where("k % 5 < 3").selectExpr(
         "k", "s", "dt", "explode(CASE WHEN k % 4 = 0 THEN array(0, 1) ELSE array(0) END) AS b"
     )
     texts = arms.selectExpr(
@@ -94,9 +102,9 @@ def raw_experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_app(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_app(spark: SparkSession, sf_dir: str, dealt: bool = False) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS a", "s_name", "s_nationkey")
-    rows = snapshots(supplier, "CASE WHEN a % 25 = 22 THEN 3 ELSE 0 END")
+    rows = snapshots(spread(supplier, "a", dealt), "CASE WHEN a % 25 = 22 THEN 3 ELSE 0 END")
     news, promo, late = (
         f"named_struct('id', {n}L, 'name', '{name}')" for n, name in ((1, "News"), (2, "Promo"), (1, "Late"))
     )

@@ -103,7 +103,7 @@ def src_sessions_range(spark, sf_dir):
 
 def src_snapshots_range(spark, sf_dir):
     path = scratch(spark)
-    fx.raw_study(spark, sf_dir).write.partitionBy("dt").parquet(path)
+    fx.raw_study(spark, sf_dir, dealt=True).write.partitionBy("dt").parquet(path)
     return scan_snapshots(spark, path, "Study", fx.START, fx.END).select(
         "message_id", "app_id", "name", "action_type",
         F.col("delivery_type").cast("bigint").alias("delivery_type"),
@@ -113,7 +113,7 @@ def src_snapshots_range(spark, sf_dir):
 
 def src_app_asof(spark, sf_dir):
     path = scratch(spark)
-    fx.raw_app(spark, sf_dir).write.partitionBy("dt").parquet(path)
+    fx.raw_app(spark, sf_dir, dealt=True).write.partitionBy("dt").parquet(path)
     return app_asof(spark, path, fx.END).select("app_id", "company_id", "name", "email_from_address")
 
 
@@ -123,7 +123,7 @@ def src_ingest_snapshots(spark, sf_dir):
     root = scratch(spark)
     for day in fx.SNAPSHOT_DAYS:
         for model in MODELS:
-            rows = RAW[model](spark, sf_dir).where(F.col("dt") == F.lit(day)).drop("dt")
+            rows = RAW[model](spark, sf_dir, dealt=True).where(F.col("dt") == F.lit(day)).drop("dt")
             copies = ["a", "b"] if (model, f"{day}") == ("App", "2024-01-11") else ["a"]
             for copy in copies:
                 rows.write.parquet(f"{root}/in/{day:%Y%m%d}120000/{copy}_{model.lower()}.parquet")
@@ -181,7 +181,7 @@ def sink_rerun(spark, sf_dir):
 def _stored_studies(spark, sf_dir) -> Intervals:
     """The intervals of the message snapshots: of two days at once, then day by day."""
     root = scratch(spark)
-    raw = fx.raw_study(spark, sf_dir)
+    raw = fx.raw_study(spark, sf_dir, dealt=True)
     for day in ([F.lit(d) for d in fx.SNAPSHOT_DAYS[:2]], *[[F.lit(d)] for d in fx.SNAPSHOT_DAYS[2:]]):
         raw.where(F.col("dt").isin(*day)).write.mode("append").partitionBy("dt").parquet(f"{root}/Study")
         refresh_intervals(spark, root, "Study")
