@@ -11,6 +11,8 @@ its prefix, hold a common one.
 3. Prefixes are joined on their shingles. A pair must pass a length filter, and a positional
    and suffix filter in one: what both sets still have after the common shingle, counted by
    eight ranges of hashes, bounds what they can have in common.
+   A pair that passes must also have parity sketches that allow a link: of two sets, the bits in
+   which these differ are at most as many as the shingles that one set has and the other lacks.
 4. Passing pairs are verified once each, by the exact sets. Members of a group with a shingle in
    common are first compared with one of them, its centre, and linked classes are joined;
    then every pair that is still in different components is verified. Pairs within a component
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 
 from sendstats.llm.common import materialize, once, words_of
 from sendstats.llm.components import apart, component_labels, labelled, stars
+from sendstats.llm.near_dedup import PARITY, parities
 from sendstats.llm.probminhash import fingerprints, shingles, weighted
 from sendstats.operators.sizing import few_rows
 
@@ -96,8 +99,11 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for rows, n, sets, elements in _pieces(batches):
+        words = parities(n, sets, elements).view(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [rows.column(0), pa.array(np.bincount(sets, minlength=n)), _lists(n, sets, elements)], names=["node", "n", "s"]
+            [rows.column(0), pa.array(np.bincount(sets, minlength=n)), _lists(n, sets, elements),
+             *[pa.array(np.ascontiguousarray(w)) for w in words.T]],
+            names=["node", "n", "s", *PARITY],
         )
 
 
@@ -149,12 +155,13 @@ def _open(classes: DataFrame, signed: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, s) of the classes ``wanted``, from the text of one row each."""
+    """(node, n, s, p0...) of the classes ``wanted``, from the text of one row each."""
     key = ["who", "t1", "t2"]
     ids = wanted.select(*key, "node")
     # Four numbers a class: a list of checked length is broadcast, a longer one joined by a shuffle of the texts.
     found = _keyed(docs).join(F.broadcast(ids) if few_rows(ids) else ids, key).groupBy(*key).agg(F.first("node").alias("node"), F.first("text").alias("text"))
-    return _word_hashes(found, "node").mapInArrow(_whole, "node bigint, n bigint, s array<bigint>")
+    kinds = ", ".join(f"{c} bigint" for c in PARITY)
+    return _word_hashes(found, "node").mapInArrow(_whole, f"node bigint, n bigint, s array<bigint>, {kinds}")
 
 
 def _prefix_rows(sets: DataFrame) -> DataFrame:
@@ -178,6 +185,12 @@ def _can_link(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
     return (100 * short >= PERCENT * long) & (per * F.least(x("rest"), y("rest")) >= need) & (per * left >= need)
 
 
+def _may_link(x: Callable[[str], Column], y: Callable[[str], Column]) -> Column:
+    """Sets that link differ in a nineteenth of both sizes at most."""
+    differ = sum((F.bit_count(x(c).bitwiseXOR(y(c))) for c in PARITY), F.lit(0))
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * (x("n") + y("n"))
+
+
 def _pairs(joined: DataFrame) -> DataFrame:
     return joined.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
 
@@ -192,8 +205,8 @@ def _to_centres(first: DataFrame) -> DataFrame:
     return materialize(_pairs(near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "pairs")
 
 
-def _across(first: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs of sets of different labels that have a prefix shingle in common and pass the filters.
+def _across(first: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs of sets of different labels that have a prefix shingle in common and pass the filters and the sketches.
 
     A group of many sets is dealt to blocks, and each pair of blocks to a key of its own.
     """
@@ -201,14 +214,15 @@ def _across(first: DataFrame, labels: DataFrame) -> DataFrame:
     groups = rows.groupBy("e").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"), F.min("label").alias("x"), F.max("label").alias("y")
     ).where("x <> y").select("e", "k")
-    rows = materialize(rows.join(groups, "e"), "split")
+    rows = materialize(rows.join(groups, "e").join(sets.select("node", *PARITY), "node"), "split")
     dealt = rows.withColumn("mine", F.pmod(F.xxhash64("node"), "k"))
     every = F.explode(F.expr("sequence(0L, k - 1)"))
-    fields = ["node", "label", "n", "rest", *SUFFIX]
+    fields = ["node", "label", "n", "rest", *SUFFIX, *PARITY]
     left = dealt.select("e", F.col("mine").alias("i"), every.alias("j"), *fields)
     right = dealt.select("e", every.alias("i"), F.col("mine").alias("j"), *[F.col(c).alias(f"o_{c}") for c in fields]).withColumnRenamed("o_node", "other")
     on = (left["e"] == right["e"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
-    near = (left["label"] < right["o_label"]) & _can_link(lambda c: left[c], lambda c: right[f"o_{c}"])
+    x, y = (lambda c: left[c]), (lambda c: right[f"o_{c}"])
+    near = (left["label"] < right["o_label"]) & _can_link(x, y) & _may_link(x, y)
     return _pairs(left.join(right, on & near)).distinct()
 
 
@@ -221,7 +235,7 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def joined_classes(sets: DataFrame) -> DataFrame:
-    """(node, label) of the sets (node, n, s) that are linked with any: the smallest node of the component."""
+    """(node, label) of the sets (node, n, s, p0...) that are linked with any: the smallest node of the component."""
     first = _prefix_rows(sets)
     pairs = _to_centres(first)
     # Of each set, the centre it meets most often is compared before all others.
@@ -230,7 +244,7 @@ def joined_classes(sets: DataFrame) -> DataFrame:
     labels = component_labels(links)
     more = materialize(apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), labels), "pairs")
     labels = component_labels(stars(labels).unionByName(_links(more, sets)))
-    rest = _across(first, labels).join(best.unionByName(more), ["a", "b"], "left_anti")
+    rest = _across(first, labels, sets).join(best.unionByName(more), ["a", "b"], "left_anti")
     return component_labels(stars(labels).unionByName(_links(rest, sets)))
 
 

@@ -92,6 +92,21 @@ def test_join_of_many_near_copies(spark, monkeypatch):
     assert len({c for _, _, c in found}) == 61
 
 
+def test_sketches_allow_every_link_and_few_other_pairs(spark):
+    # Sets of 100 numbers each, of which the second one has d others: up to 5 they link.
+    changed = list(range(0, 40))
+    sets = [set(range(100))] + [set(range(d, 100)) | set(range(1000 * d, 1001 * d)) for d in changed]
+    flat = [sorted(x) for x in sets]
+    ids = np.repeat(np.arange(len(flat)), [len(x) for x in flat])
+    marks = nj.parities(len(flat), ids, np.array(sum(flat, []), dtype=np.uint64)).view(np.int64)
+    rows = [(i, len(flat[i]), *map(int, marks[i])) for i in range(len(flat))]
+    df = spark.createDataFrame(rows, "i int, n bigint, " + ", ".join(f"{c} bigint" for c in nj.PARITY))
+    x, y = df.where("i = 0").alias("x"), df.where("i > 0").alias("y")
+    kept = x.join(y, nj._may_link(lambda c: F.col(f"x.{c}"), lambda c: F.col(f"y.{c}"))).select("y.i").collect()
+    found, linked = {r.i for r in kept}, {i for i in range(1, 41) if 100 * len(sets[0] & sets[i]) >= 90 * len(sets[0] | sets[i])}
+    assert linked <= found and len(found - linked) < 5
+
+
 def test_join_of_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "ONE"), (6, "one two"), (7, "One\tTwo"), (8, "one two three"), (None, "one"),
             (None, "alone without id"), (None, "alone without id"), (9, words(30_000)), (9, words(30_000)), (9, words(20)), (10, words(30_000) + " x"), (11, "K a b"), (12, "k a b")]
