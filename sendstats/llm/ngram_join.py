@@ -15,8 +15,9 @@ its prefix, hold a common one.
    which these differ are at most as many as the shingles that one set has and the other lacks.
 4. Passing pairs are verified once each, by the exact sets. Members of a group with a shingle in
    common are first compared with one of them, its centre, and linked classes are joined;
-   then every pair that is still in different components is verified. Pairs within a component
-   change nothing, so that groups of many near copies never are compared pair by pair.
+   then with more and more centres, in rounds, until every pair that is still in different
+   components is verified. Pairs within a component change nothing, so that of a group of many
+   near copies only some links for each are found.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sendstats.llm.common import materialize, once, words_of
-from sendstats.llm.components import apart, component_labels, labelled, stars
+from sendstats.llm.components import apart, component_labels, linked_in_groups, merged
 from sendstats.llm.near_dedup import PARITY, parities
 from sendstats.llm.probminhash import fingerprints, shingles, weighted
 from sendstats.operators.sizing import few_rows
@@ -205,27 +206,6 @@ def _to_centres(first: DataFrame) -> DataFrame:
     return materialize(_pairs(near).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")), "pairs")
 
 
-def _across(first: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """All pairs of sets of different labels that have a prefix shingle in common and pass the filters and the sketches.
-
-    A group of many sets is dealt to blocks, and each pair of blocks to a key of its own.
-    """
-    rows = labelled(first, labels, "node", "label")
-    groups = rows.groupBy("e").agg(
-        F.ceil(F.count(F.lit(1)) / BLOCK).alias("k"), F.min("label").alias("x"), F.max("label").alias("y")
-    ).where("x <> y").select("e", "k")
-    rows = materialize(rows.join(groups, "e").join(sets.select("node", *PARITY), "node"), "split")
-    dealt = rows.withColumn("mine", F.pmod(F.xxhash64("node"), "k"))
-    every = F.explode(F.expr("sequence(0L, k - 1)"))
-    fields = ["node", "label", "n", "rest", *SUFFIX, *PARITY]
-    left = dealt.select("e", F.col("mine").alias("i"), every.alias("j"), *fields)
-    right = dealt.select("e", every.alias("i"), F.col("mine").alias("j"), *[F.col(c).alias(f"o_{c}") for c in fields]).withColumnRenamed("o_node", "other")
-    on = (left["e"] == right["e"]) & (left["i"] == right["i"]) & (left["j"] == right["j"])
-    x, y = (lambda c: left[c]), (lambda c: right[f"o_{c}"])
-    near = (left["label"] < right["o_label"]) & _can_link(x, y) & _may_link(x, y)
-    return _pairs(left.join(right, on & near)).distinct()
-
-
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
@@ -243,9 +223,10 @@ def joined_classes(sets: DataFrame) -> DataFrame:
     links = materialize(_links(best, sets), "links")
     labels = component_labels(links)
     more = materialize(apart(pairs.select("a", "b").join(best, ["a", "b"], "left_anti"), labels), "pairs")
-    labels = component_labels(stars(labels).unionByName(_links(more, sets)))
-    rest = _across(first, labels, sets).join(best.unionByName(more), ["a", "b"], "left_anti")
-    return component_labels(stars(labels).unionByName(_links(rest, sets)))
+    labels = merged(labels, _links(more, sets))
+    may_link = lambda x, y: _can_link(x.get, y.get) & _may_link(x.get, y.get)
+    verified = lambda found: _links(found, sets)
+    return linked_in_groups(first, "e", sets.select("node", *PARITY), labels, best.unionByName(more), may_link, verified, BLOCK)
 
 
 def ngram_join(docs: DataFrame) -> DataFrame:

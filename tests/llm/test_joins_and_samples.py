@@ -11,9 +11,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sendstats.llm import importance, ngram_join as nj
+from sendstats.llm import components, importance, ngram_join as nj
 from sendstats.llm.centroids import Bisectors, centroid_clusters
-from sendstats.llm.components import component_labels
+from sendstats.llm.components import component_labels, linked_in_groups
 from sendstats.llm.importance import hashed_features, importance_sample
 from sendstats.llm.ngram_join import ngram_join
 
@@ -128,6 +128,37 @@ def test_components_of_paths_and_stars(spark):
     assert component_labels(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+@pytest.mark.parametrize("block", [7, 1000])
+def test_links_of_a_large_group_grow_with_its_rows(spark, monkeypatch, block):
+    # Of 400 sets all even ones link, and each odd one up to 380 with some even ones: 21,800 links.
+    linked = lambda x, y: (x % 2 + y % 2 == 0) or (x % 2 + y % 2 == 1 and max(x % 2 * x, y % 2 * y) < 380 and (x + y) % 40 in (1, 3))
+    every = {(x, y) for x in range(400) for y in range(x + 1, 400) if linked(x, y)}
+    assert len(every) > 20_000
+    table = spark.createDataFrame(sorted(every), "a bigint, b bigint").cache()
+    found, merged = [], []
+
+    def links(pairs):
+        some = pairs.join(table, ["a", "b"], "left_semi")
+        found.extend(tuple(p) for p in pairs.collect())
+        return some
+
+    def counted(edges):
+        merged.append(edges.count())
+        return component_labels(edges)
+
+    monkeypatch.setattr(components, "component_labels", counted)
+    members = spark.createDataFrame([(g, i) for g in (1, 2) for i in range(400 if g == 1 else 3)], "g bigint, node bigint")
+    sketches = spark.createDataFrame([(i, i < 380 or i % 2 == 0) for i in range(400)], "node bigint, any boolean")
+    none = spark.createDataFrame([], "node bigint, label bigint")
+    seen = spark.createDataFrame([], "a bigint, b bigint")
+    even = lambda c: c["node"] % 2 == 0
+    may_link = lambda x, y: x["any"] & y["any"] & ((even(x) & even(y)) | (even(x) != even(y)) & ((x["node"] + y["node"]) % 40).isin(1, 3))
+    labels = linked_in_groups(members, "g", sketches, none, seen, may_link, links, block)
+    assert {r.node: r.label for r in labels.collect()} == {i: 0 for i in range(400) if i < 380 or i % 2 == 0}
+    assert len(found) == len(set(found)) and len(found) < 6_000
+    assert sum(merged) < 6_000
+
+
 def plain_features(text, buckets=10_000):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
     runs = [" ".join(w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1)]
