@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sendstats.functions.rates import percent_text
 from sendstats.sources.committed import delete, file_system
+from sendstats.sources.localfiles import local_path, read_lines, write_lines
 from sendstats.sources.scans import as_day
 
 # File name parts and CSV header per report.
@@ -97,8 +98,7 @@ def write_report(
     listed = rows.select(*folder).distinct()
     manifest.write(manifest.read().unionByName(listed).distinct())
     ranged = rows.repartitionByRange(*folder, *order).sortWithinPartitions(*folder, *order)
-    writer = ranged.drop("message_id").write.mode("append" if first else "overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*folder).options(**CSV_OPTIONS).csv(path)
+    _write_files(ranged.drop("message_id"), folder, path, "append" if first else "overwrite")
     if not first:
         known = manifest.read()
         mine = known if covered is None else known.join(covered.select("app_id").distinct(), "app_id", "left_semi")
@@ -108,6 +108,19 @@ def write_report(
     delete(spark, staged)
 
 
+def _write_files(rows: DataFrame, folder: list[str], path: str, mode: str) -> None:
+    """Write the CSV files of ``rows``, which are in order of their ``folder`` columns."""
+    local = local_path(rows.sparkSession, path)
+    if local is None:
+        writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy(*folder).options(**CSV_OPTIONS).csv(path)
+        return
+    columns = [c for c in rows.columns if c not in folder]
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in columns]), CSV_OPTIONS)
+    # The headings need no quotes.
+    write_lines(rows.select(*folder, line.alias("line")), local, mode, ",".join(columns))
+
+
 def _written(spark: SparkSession, path: str, kind: str, start, end) -> bool:
     """Whether there is any folder named as those of the report, listed or not."""
     head, tail = NAMES[kind]
@@ -134,8 +147,12 @@ def _remove(spark: SparkSession, path: str, folders: DataFrame) -> int:
 
 def read_report(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """The written reports of one kind, as text. The columns are given: else Spark lists all files again for the header of one."""
-    schema = ", ".join(f"`{c}` string" for c in HEADERS[kind])
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    schema, folders = ", ".join(f"`{c}` string" for c in HEADERS[kind]), "app_id bigint, report string"
+    local = local_path(spark, path)
+    if local is None:
+        return spark.read.schema(f"{schema}, {folders}").options(**CSV_OPTIONS).csv(path)
+    lines = read_lines(spark, local, folders)
+    return lines.select(F.from_csv("line", schema, CSV_OPTIONS).alias("row"), "app_id", "report").select("row.*", "app_id", "report")
 
 
 def _escape(spark: SparkSession):
