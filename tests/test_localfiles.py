@@ -10,8 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import scenario as s
-from sendstats.sources import sink
-from sendstats.sources.localfiles import LineFiles, LineReader
+from sendstats.sources import localfiles, sink
 
 WINDOW = (s.START, s.END)
 COLUMNS = (
@@ -60,7 +59,6 @@ def test_files_and_rows_are_those_of_spark(spark, tmp_path, monkeypatch, batch):
     conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
     own, plain = tmp_path / "own", tmp_path / "spark"
     monkeypatch.setattr("sendstats.sources.localfiles.BATCH_LINES", batch)
-    monkeypatch.setattr("sendstats.sources.localfiles.TASK_BYTES", 100 * batch)
     spark.conf.set(conf, batch)
     try:
         sink.write_report(odd_rows(spark), "push", *WINDOW, str(own))
@@ -107,21 +105,24 @@ def test_a_failed_write_leaves_the_files_as_they_were(spark, tmp_path):
     assert read.count() == 40 and {r.app_id for r in read.collect()} == {0, 1, 2, 3}
 
 
-def test_tasks_get_files_by_their_size(tmp_path, monkeypatch):
-    for app in range(10):
-        folder = tmp_path / f"app_id={app}" / "report=r"
-        folder.mkdir(parents=True)
-        (folder / "part-0.csv").write_text("h\n" + "x\n" * 10)
-    monkeypatch.setattr("sendstats.sources.localfiles.FILE_BYTES", 8)
-    monkeypatch.setattr("sendstats.sources.localfiles.TASK_BYTES", 100)
-    parts = LineReader(str(tmp_path), _Schema()).partitions()
-    assert [len(part.files) for part in parts] == [3, 3, 3, 1]
-    assert LineFiles.name() == "sendstats_line_files"
-
-
-class _Schema:
-    def fieldNames(self):  # noqa: N802
-        return ["app_id", "report", "line"]
+def test_the_files_of_one_folder_are_read_by_several_tasks(spark, tmp_path):
+    folder = tmp_path / "app_id=1" / "report=r"
+    folder.mkdir(parents=True)
+    for part in range(80):
+        (folder / f"part-{part}.csv").write_text("h\n" + "x\n" * 10)
+    read = sink.read_lines(spark, str(tmp_path), "app_id bigint, report string")
+    tasks = read.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in tasks) == 800 and max(r["count"] for r in tasks) < 400
+
+
+def test_of_two_attempts_of_a_task_one_counts(spark, tmp_path):
+    staged = tmp_path / "_files-x"
+    (staged / "task-00000" / "app_id=0" / "report=r").mkdir(parents=True)
+    (staged / "task-00000" / "app_id=0" / "report=r" / "part-00000-x.csv").write_text("h\nfirst\n")
+    lines = spark.range(1).selectExpr("id AS app_id", "'r' AS report", "'again' AS line").coalesce(1)
+    task = localfiles._writer(str(staged), "x", ["app_id", "report"], "h", "")
+    assert lines.mapInArrow(task, "files bigint").collect() == [(1,)]
+    assert [p.read_text() for p in staged.glob("**/*.csv")] == ["h\nfirst\n"]
 
 
 def test_workers_need_not_have_the_package(tmp_path):
